@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, wavelet
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -21,7 +22,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded into wavelet-matrix shards, which are then read back."""
+    manifest = wavelet.write(_table(spark, sf_dir, "documents"), WORD_BPE, 2)
+    return wavelet.read_documents(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_wavelet_shards": op2_wavelet_shards,
 }
 ORACLES: dict[str, str] = {}
