@@ -160,7 +160,7 @@ class Shard:
 # ----------------------------------------------------------------- the tokenizer
 
 #: White space of other kinds than the six ASCII characters at which chunks are cut.
-_OTHER_SPACE = regex.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
+_OTHER_SPACE = regex.compile(r"[\x1c-\x1f]|[^\P{White_Space}\x20\x09-\x0d]")
 _CHUNK = regex.compile(r"[^ \t\n\r\f\v]+")
 _TOKENIZERS: dict = {}
 
