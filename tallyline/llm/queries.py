@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, wavelet
+from . import bpe, pii, wavelet
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -28,8 +28,17 @@ def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data and of the terms that reveal it."""
+    found = pii.spans(_table(spark, sf_dir, "documents"))
+    terms = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), F.lit("term").alias("kind")))
+    every = F.array_sort(F.concat("base", terms))
+    return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(every).alias("spans"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_wavelet_shards": op2_wavelet_shards,
+    "op10_disclosure_pii": op10_disclosure_pii,
 }
 ORACLES: dict[str, str] = {}
