@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -66,3 +67,27 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4
 def blank(column: str = "text"):
     """The column as a string in which null is empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+#: Tasks that add up the vectors of all others, and so the most that the driver gets.
+FAN = 16
+
+
+def summed(vectors: DataFrame, size: int) -> np.ndarray:
+    """The sum of the float64 vectors of ``size`` in the one binary column of ``vectors``.
+
+    Each task hands on one vector; ``FAN`` tasks add those up, and the driver adds theirs,
+    so what it gets is bounded by ``FAN * size`` numbers whatever the input.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for x in batch.column(0):
+                total += np.frombuffer(x.as_buffer(), np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["v"])
+
+    total = np.zeros(size)
+    for row in vectors.toDF("v").repartition(FAN).mapInArrow(add, "v binary").collect():
+        total += np.frombuffer(bytes(row.v), np.float64)
+    return total

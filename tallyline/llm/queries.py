@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, wavelet
+from . import bpe, ngram_llr, pii, rff, wavelet
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -28,6 +28,19 @@ def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_ngram_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    learned = ngram_llr.weights(docs, ngram_llr.trusted(_table(spark, sf_dir, "labels")))
+    return ngram_llr.judge(docs, learned)
+
+
+def op9_rff_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calibrated quality score of every document."""
+    scored = rff.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op10_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data and of the terms that reveal it."""
     found = pii.spans(_table(spark, sf_dir, "documents"))
@@ -39,6 +52,8 @@ def op10_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_wavelet_shards": op2_wavelet_shards,
+    "op7_ngram_llr": op7_ngram_llr,
+    "op9_rff_quality": op9_rff_quality,
     "op10_disclosure_pii": op10_disclosure_pii,
 }
 ORACLES: dict[str, str] = {}
