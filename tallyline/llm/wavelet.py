@@ -18,7 +18,9 @@ no shard and no row; columns of the input besides the two named are not read.
 
 from __future__ import annotations
 
+import array
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -26,7 +28,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +35,8 @@ from .common import blank, partitions_for, shared_path, text_batches
 
 MAGIC, VERSION, BLOCK = b"TLWM", 1, 512
 HEAD = struct.Struct("<4sIIQQQ")
-#: Chunks of a text that the table of a worker holds before it is emptied, and the longest it takes.
-TABLE_CHUNKS, TABLE_CHARS = 500_000, 64
+#: Words that the table of a worker holds before it is emptied, and the longest it takes.
+TABLE_WORDS, TABLE_CHARS = 500_000, 64
 #: MB of input, as estimated by the optimiser, for each shard.
 SHARD_MB = 12
 
@@ -159,46 +160,49 @@ class Shard:
 
 # ----------------------------------------------------------------- the tokenizer
 
-#: White space of other kinds than the six ASCII characters at which chunks are cut.
-_OTHER_SPACE = regex.compile(r"[\x1c-\x1f]|[^\P{White_Space}\x20\x09-\x0d]")
-_CHUNK = regex.compile(r"[^ \t\n\r\f\v]+")
+#: Of the first 256 code points, those that are letters in lower case, numbers, and neither space nor control.
+_LOW, _NUM = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+#: What a text of the plain kind must not contain; and the words of its lower-cased form, as the tokenizer cuts them.
+_NOT_PLAIN = re.compile("[^\t\n\v\f\r -~\xa1-\xff]|<\\|")
+_WORD = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LOW}]+|[{_NUM}]|[^\\s{_LOW}{_NUM}]+")
+_CHUNK = re.compile(r"[^ \t\n\r\f\v]+")
 _TOKENIZERS: dict = {}
 
 
-class ChunkTokenizer:
-    """Encodes texts chunk by chunk, for tokenizers that drop white space and never look across it."""
+class WordTokenizer(dict):
+    """Encodes texts word by word, for tokenizers that lower-case, drop white space and never look across words.
+
+    The dictionary has the ids of words met, as bytes; what it lacks the library works out.
+    Texts of Latin-1 characters are cut into the tokenizer's own words, others into chunks
+    between ASCII white space, which the library cuts further. The table is emptied
+    when it has ``TABLE_WORDS`` entries.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        self.table: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        got = array.array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) <= TABLE_CHARS:
+            if len(self) >= TABLE_WORDS:
+                self.clear()
+            self[word] = got
+        return got
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        split = [text.split() if not _OTHER_SPACE.search(text) else _CHUNK.findall(text) for text in texts]
-        new = set()
-        for chunks in split:
-            new.update(chunks)
-        if len(self.table) + len(new) > TABLE_CHUNKS:
-            self.table.clear()
-        new.difference_update(self.table)
-        new = list(new)
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        got = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, coded, strict=True)}
-        self.table.update(got)
-        out = [b"".join([*map(self.table.__getitem__, chunks), end]) for chunks in split]
-        for w in new:
-            if len(w) > TABLE_CHARS:
-                del self.table[w]
-        return out
-
-
-def _tokenizer(path: str) -> ChunkTokenizer:
+        split = (_CHUNK.findall(text) if _NOT_PLAIN.search(text) else _WORD.findall(text.lower()) for text in texts)
+        return [b"".join([*map(self.__getitem__, words), end]) for words in split]
+
+
+def _tokenizer(path: str) -> WordTokenizer:
     if path not in _TOKENIZERS:
         _TOKENIZERS.clear()
-        _TOKENIZERS[path] = ChunkTokenizer(path)
+        _TOKENIZERS[path] = WordTokenizer(path)
     return _TOKENIZERS[path]
 
 
