@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ngram_llr, pii, rff, wavelet
+from . import bpe, decontaminate, ngram_llr, pii, rff, wavelet
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -28,6 +28,11 @@ def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_pigeonhole_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document that holds a benchmark item, with the item and where it stands."""
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_ngram_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -52,6 +57,7 @@ def op10_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_wavelet_shards": op2_wavelet_shards,
+    "op6_pigeonhole_decontaminate": op6_pigeonhole_decontaminate,
     "op7_ngram_llr": op7_ngram_llr,
     "op9_rff_quality": op9_rff_quality,
     "op10_disclosure_pii": op10_disclosure_pii,
