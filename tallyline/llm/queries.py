@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, ngram_llr, pii, rff, wavelet
+from . import bpe, decontaminate, ngram_llr, pii, preference, rff, wavelet
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -28,6 +28,13 @@ def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation in a pair with its neighbour, as prompt and masked completions."""
+    done = preference.format_pairs(preference.neighbours(_table(spark, sf_dir, "conversations")))
+    masks = {m: preference.mask_text(F.col(m)) for m in ("chosen_mask", "rejected_mask")}
+    return done.withColumns(masks)
+
+
 def op6_pigeonhole_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document that holds a benchmark item, with the item and where it stands."""
     return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -57,9 +64,12 @@ def op10_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_wavelet_shards": op2_wavelet_shards,
+    "op4_preference_format": op4_preference_format,
     "op6_pigeonhole_decontaminate": op6_pigeonhole_decontaminate,
     "op7_ngram_llr": op7_ngram_llr,
     "op9_rff_quality": op9_rff_quality,
     "op10_disclosure_pii": op10_disclosure_pii,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_preference_format": preference.ORACLE,
+}
