@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, ngram_llr, pii, preference, rff, wavelet
+from . import bpe, decontaminate, ngram_llr, pii, preference, rff, wavelet, wrapper
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -47,6 +47,12 @@ def op7_ngram_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_llr.judge(docs, learned)
 
 
+def op8_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    text = F.coalesce("text", F.lit(""))
+    return wrapper.main_text(_table(spark, sf_dir, "pages")).select("page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))
+
+
 def op9_rff_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A calibrated quality score of every document."""
     scored = rff.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -67,6 +73,7 @@ QUERIES = {
     "op4_preference_format": op4_preference_format,
     "op6_pigeonhole_decontaminate": op6_pigeonhole_decontaminate,
     "op7_ngram_llr": op7_ngram_llr,
+    "op8_wrapper_text": op8_wrapper_text,
     "op9_rff_quality": op9_rff_quality,
     "op10_disclosure_pii": op10_disclosure_pii,
 }
