@@ -40,8 +40,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The optimiser's estimate of the size of ``df``; nothing is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimiser's estimate of the size of ``df``; nothing is run.
+
+    Where it has none (rows from the driver or an RDD), 8 MB for each partition.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 8_000_000 * df.rdd.getNumPartitions()
 
 
 def partitions_for(df: DataFrame, mb: float, least: int = 8, most: int = 1 << 16) -> int:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, ngram_llr, pii, preference, rff, wavelet, wrapper
+from . import bpe, decontaminate, jaccard, ngram_llr, pii, preference, rff, wavelet, wrapper
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -35,6 +35,11 @@ def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumns(masks)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near copies."""
+    return jaccard.join(_table(spark, sf_dir, "documents"))
+
+
 def op6_pigeonhole_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document that holds a benchmark item, with the item and where it stands."""
     return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -71,6 +76,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_wavelet_shards": op2_wavelet_shards,
     "op4_preference_format": op4_preference_format,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_pigeonhole_decontaminate": op6_pigeonhole_decontaminate,
     "op7_ngram_llr": op7_ngram_llr,
     "op8_wrapper_text": op8_wrapper_text,
