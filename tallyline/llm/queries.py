@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, ngram_llr, pii, preference, rff, wavelet, wrapper
+from . import bpe, ctw, decontaminate, jaccard, ngram_llr, pii, preference, rff, wavelet, wrapper
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -28,6 +28,11 @@ def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every text under the context tree and the unigram base."""
+    return ctw.score(_table(spark, sf_dir, "documents"))
+
+
 def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation in a pair with its neighbour, as prompt and masked completions."""
     done = preference.format_pairs(preference.neighbours(_table(spark, sf_dir, "conversations")))
@@ -75,6 +80,7 @@ def op10_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_wavelet_shards": op2_wavelet_shards,
+    "op3_context_tree": op3_context_tree,
     "op4_preference_format": op4_preference_format,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_pigeonhole_decontaminate": op6_pigeonhole_decontaminate,
