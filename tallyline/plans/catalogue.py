@@ -382,3 +382,42 @@ def pending_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retry_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = spark.range(100, 600).select(F.col("id").cast("int").alias("status"))
     return codes.select("status", projection.retryable(F.col("status")).alias("retry"))
+
+
+# ----------------------------------------------------------------- streams and files
+
+
+@query("SELECT user_id AS instrument_name, event_id AS trade_seq FROM events GROUP BY 1, 2")
+def streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered twice, deduplicated by a stream that takes what is there and stops."""
+    from tallyline.streaming import dedup as stream
+
+    folder = scratch(spark, "stream")
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("instrument_name"), F.col("event_id").alias("trade_seq"))
+    for _ in range(2):
+        rows.write.mode("append").parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+    stream.run_available(stream.first_seen(arriving), f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.schema(rows.schema).parquet(f"{folder}/out")
+
+
+@query("SELECT CAST(l_orderkey AS VARCHAR) AS instrument_name, CAST(l_linenumber AS BIGINT) AS trade_seq, count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) GROUP BY 1, 2")
+def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written as JSON lines, read strictly, and deduplicated in the order of files and positions."""
+    from tallyline.sources import raw
+
+    folder = f"{scratch(spark, 'raw')}/raw"
+    raw.append(canonical_projection(spark, sf_dir), folder)
+    rows = spark.read.schema(canonical_projection(spark, sf_dir).schema).option("mode", "FAILFAST").json(folder)
+    ranked = rows.select("*", F.struct(*(o.alias(f"o{i}") for i, o in enumerate(dedup.survivor_order(100 << 20)))).alias("at"))
+    kept = dedup.first_wins(dedup.guarded(ranked), ["at"])
+    return kept.groupBy("instrument_name", "trade_seq").agg(F.count("*").alias("n"))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: beneath spark.checkpoint.dir, or a local one where that is unset."""
+    import tempfile
+    import uuid
+
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='tallyline-')}"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
