@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from .common import blank, text_batches
 
-#: Words the table of a worker holds before it is emptied, and the longest word it takes.
+#: Words that either table of a worker holds, and the longest word it takes.
 TABLE_WORDS, TABLE_CHARS = 400_000, 64
 #: Words that are looked at together.
 SLICE_WORDS = 200_000
@@ -146,33 +146,29 @@ class MergeReplay:
 
 
 class Encoder:
-    """Encodes texts; keeps the ids of words it has met in a bounded table."""
+    """Encodes texts; keeps the ids of words it has met in two bounded tables, the full one becoming the older."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.replay = MergeReplay(ranks)
         self.find = regex.compile(pattern)
         self.table: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
-        """The table, with ``words`` in it or in a copy of their own."""
+        """A table with all of ``words`` in it; what neither table has is worked out together."""
         new = set(words)
         new.difference_update(self.table)
         if not new:
             return self.table
-        new = list(new)
-        got = dict(zip(new, self.replay.encode([w.encode() for w in new]), strict=True))
-        if len(self.table) + len(got) > TABLE_WORDS:
-            old, self.table = self.table, {}
-            return {**old, **got} if len(got) > TABLE_WORDS else self._keep(old, got)
-        if any(len(w) > TABLE_CHARS for w in got):
-            self.table.update((w, x) for w, x in got.items() if len(w) <= TABLE_CHARS)
-            return _Both(got, self.table)
-        self.table.update(got)
-        return self.table
-
-    def _keep(self, old: dict[str, bytes], got: dict[str, bytes]) -> dict[str, bytes]:
-        self.table.update((w, x) for w, x in got.items() if len(w) <= TABLE_CHARS)
-        return _Both(got, old)
+        got = {w: self.older[w] for w in new if w in self.older}
+        rest = [w for w in new if w not in got]
+        got.update(zip(rest, self.replay.encode([w.encode() for w in rest]), strict=True))
+        short = {w: x for w, x in got.items() if len(w) <= TABLE_CHARS}
+        if len(self.table) + len(short) > TABLE_WORDS:
+            self.older, self.table = self.table, short if len(short) <= TABLE_WORDS else {}
+            return _Both(got, self.older)
+        self.table.update(short)
+        return self.table if len(short) == len(got) else _Both(got, self.table)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out, parts = [], []
