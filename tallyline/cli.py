@@ -9,8 +9,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from tallyline import reports
 from tallyline.config import Settings
-from tallyline.operators import validate
 from tallyline.schema import KINDS
 from tallyline.session import build_session
 from tallyline.sources import checkpoint, compacted
@@ -41,16 +41,16 @@ def run_validate(spark: SparkSession, settings: Settings, kind: str) -> int:
     kinds = KINDS if kind == "both" else (kind,)
     worst = 0
     for k in kinds:
-        df = spark.read.parquet(str(settings.compacted(k)))
-        details, result = validate.validate(df, checkpoint.targets(spark, settings.ledger_file(k), k))
-        details.where("status <> 'COMPLETE'").orderBy("instrument_name").show(50, truncate=False)
-        print(f"{k}: {result.n_rows:,} rows; {result.complete} complete, {result.incomplete} incomplete, {result.unknown} unknown")
+        path = settings.compacted(k)
+        lines, result = reports.validation(spark.read.parquet(str(path)), checkpoint.targets(spark, settings.ledger_file(k), k), path)
+        print("\n".join(f"{k}: {line}" for line in lines))
         worst = 1 if 1 in (worst, result.exit_code) else max(worst, result.exit_code)
     return worst
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
+    reports.setup_logging()
     settings = Settings.from_env().at(args.base_dir)
     spark = spark or build_session(master=os.environ.get("SPARK_MASTER"))
     if args.command == "compact":

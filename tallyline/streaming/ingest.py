@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.config import Settings
+from tallyline.reports import log
 from tallyline.operators import ledger
 from tallyline.plans import planning
 from tallyline.schema import KEY, SEQ
@@ -47,7 +48,7 @@ def list_instruments(spark: SparkSession, history: History, settings: Settings,
         folder.mkdir(parents=True, exist_ok=True)
         (folder / "instruments.json").write_text(json.dumps(rows))
     except OSError as error:
-        print(f"instruments.json was not saved: {error}")
+        log.warning("instruments.json was not saved: %s", error)
     return spark.createDataFrame([(r["instrument_name"], int(not r["is_active"])) for r in rows], "instrument string, is_expired int")
 
 

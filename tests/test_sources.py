@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from tallyline import cli
+from tallyline import cli, reports
 from tallyline.config import Settings
 from tallyline.functions import synthetic
 from tallyline.operators import dedup
@@ -120,6 +120,14 @@ def test_shell_codes(spark, tmp_path, seqs, done, code, capsys):
     checkpoint.write_sqlite(spark.createDataFrame([("A", 3, 1, done)], checkpoint.LEDGERS["option_meta"]), tmp_path / "option.db", "option_meta")
     assert cli.main(["compact", "--type", "option", "--base-dir", str(tmp_path)], spark) == 0
     assert cli.main(["validate", "--type", "option", "--base-dir", str(tmp_path)], spark) == code
+    said = capsys.readouterr().out
+    assert ("missing by tenth" in said) == (code == 1)
+    assert "1970-01-01 to 1970-01-01 UTC" in said
+
+
+def test_markdown_and_matrix():
+    assert reports.markdown([{"name": "a", "rows": 1234, "s": 1.25, "ok": True}]) == "| name | rows | s | ok |\n|-|-|-|-|\n| a | 1,234 | 1.2 | True |\n"
+    assert reports.markdown([]) == "" and [c["name"] for c in reports.matrix(2)] == ["partitions 1", "partitions 2", "no dedup", "lz4"]
 
 
 def test_settings():
