@@ -16,7 +16,7 @@ Two documents link when the Jaccard similarity of their sets of word shingles is
    which pairs listed plus list entries scanned are fewest, from exact counts by size.
 4. Verification. First each document is compared with one leader of its lists, and
    what links is one component. Only lists that still hold several components are
-   looked at again, by leaders of each round, then by all pairs across components. So a
+   looked at again, by leaders of each round, then by the pairs across components whose counts allow a link. So a
    group of near copies costs its size, not its square, and no link between components is lost.
 
 Documents with equal sets are one class from step 1 on; a class counts once in every list.
@@ -213,7 +213,7 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
         active = materialize(marked.join(open_, "h"), "jaccard-open")
         if active.isEmpty():
             break
-        pairs = _leaders(active, turn) if turn < ROUNDS else _across(active)
+        pairs = _leaders(active, turn) if turn < ROUNDS else _across(active, sets)
         pairs = materialize(pairs.distinct().join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
         found = materialize(_verified(pairs, sets), "jaccard-links")
         done, links = done.unionByName(pairs), links.unionByName(found)
@@ -250,9 +250,54 @@ def _leaders(active: DataFrame, turn: int) -> DataFrame:
     return best.select(*_ordered(F.col("doc"), F.col("l.leader")))
 
 
-def _across(active: DataFrame) -> DataFrame:
-    """Every pair of a list, with a large set in it, whose components differ."""
-    x = active.select("h", F.col("doc").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"), F.col("large").alias("l_x"))
-    y = active.select("h", F.col("doc").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c_y"), F.col("large").alias("l_y"))
-    near = (100 * F.least("n_x", "n_y") >= THRESHOLD * F.greatest("n_x", "n_y")) & (F.col("x") < F.col("y")) & (F.col("c_x") != F.col("c_y")) & (F.col("l_x") | F.col("l_y"))
-    return x.join(y, "h").where(near).select(*_ordered(F.col("x"), F.col("y")))
+def _crossing(active: DataFrame, sets: DataFrame) -> DataFrame:
+    """(doc, n, crossing): the shingles of an active set that stand in one of another component.
+
+    No others can be shared across components. Sets with fewer than any partner needs are left out.
+    """
+    nodes = active.select("doc", "component").distinct()
+    each = sets.join(nodes, "doc").select("doc", "n", "component", F.explode("shared").alias("s"))
+    both = each.groupBy("s").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q").select("s")
+    held = each.join(both, "s").groupBy("doc", "n").agg(F.collect_set("s").alias("crossing"))
+    return held.where(100 * F.size("crossing") >= THRESHOLD * F.col("n"))
+
+
+#: Documents from which a list has a pivot: shorter ones have few pairs.
+LONG = 32
+#: How much longer than the one before a band of set sizes is.
+_BAND = 1.02
+
+
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n) / float(np.log(_BAND))).cast("int")
+
+
+def _across(active: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of a list, with a large set in it, whose components differ and that may link.
+
+    In a list every such pair has a side outside the list's largest component. Those sides
+    seek; a seeker with x shingles to share links only with sets of size
+    x (1 + 1 / t) - n or less, and meets only the bands of sizes up to there. The first
+    document of the largest component is the pivot of a long list: what two sets share inside it is at
+    most the lesser share with it, and outside it the lesser rest. Long lists of one
+    largest component are one list, so a pair is met once.
+    """
+    nodes = materialize(_crossing(active, sets), "jaccard-crossing")
+    sizes = active.groupBy("h", "component").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("h").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.sum("m").alias("m"))
+    long = F.col("m") >= LONG
+    listed = active.join(main, "h").groupBy(long.alias("long"), F.when(long, F.col("main")).otherwise(F.col("h")).alias("h"), "main", "doc", "n", "component").agg(F.max("large").alias("large"))
+    pivots = sets.groupBy(F.col("doc").alias("main")).agg(F.max_by("shared", "n").alias("pivot"))
+    shares = listed.where("long").select("doc", "n", "main").distinct().join(nodes, ["doc", "n"]).join(pivots, "main")
+    inside = F.size(F.array_intersect("crossing", "pivot"))
+    shares = materialize(shares.select("doc", "n", "main", inside.alias("i")), "jaccard-pivots")
+    all_ = listed.join(nodes.select("doc", "n", F.size("crossing").alias("x")), ["doc", "n"]).join(shares, ["doc", "n", "main"], "left").withColumn("i", F.when(F.col("long"), F.coalesce("i", F.lit(0))).otherwise(F.lit(0)))
+    most = F.floor((100 + THRESHOLD) * F.col("x") / THRESHOLD).cast("int") - F.col("n")
+    low, high = F.ceil(THRESHOLD * F.col("n") / 100), F.least(F.floor(100 * F.col("n") / THRESHOLD), most)
+    seekers = all_.where("component <> main").withColumns({"low": low, "high": high}).where("high >= low and low > 0")
+    seekers = seekers.select("long", "h", F.col("doc").alias("d"), F.col("n").alias("n_d"), F.col("x").alias("x_d"), F.col("i").alias("i_d"), F.col("component").alias("c_d"), F.col("large").alias("l_d"), F.explode(F.sequence(_band(F.col("low")), _band(F.col("high")))).alias("band"))
+    held = all_.select("long", "h", "doc", "n", "x", "i", "component", "large", (F.col("component") == F.col("main")).alias("settled"), _band(F.col("n")).alias("band"))
+    shared = F.least("i", "i_d") + F.least(F.col("x") - F.col("i"), F.col("x_d") - F.col("i_d"))
+    fits = (100 + THRESHOLD) * shared >= THRESHOLD * (F.col("n") + F.col("n_d"))
+    near = (100 * F.least("n", "n_d") >= THRESHOLD * F.greatest("n", "n_d")) & (F.col("component") != F.col("c_d")) & (F.col("large") | F.col("l_d")) & (F.col("settled") | (F.col("doc") < F.col("d"))) & fits
+    return seekers.join(held, ["long", "h", "band"]).where(near).select(*_ordered(F.col("doc"), F.col("d")))
