@@ -7,7 +7,7 @@ a stage returns as Parquet in the shared folder and reads it again as the next o
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import bpe, decontaminate, jaccard, pii, rff
@@ -29,10 +29,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of the lowest id, once; texts without words stay."""
+    """One document of each group of near copies, the one of the lowest id; texts without words and without ids stay.
+
+    Rows that repeat an id are one document, of which the first text in order stays.
+    """
     joined = jaccard.join(docs).where((F.col("doc_id") != F.col("component_id")) & (F.col("n_shingles") > 0))
     gone = joined.select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    kept = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    twice = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("twice")).agg(F.count("*").alias("n")).where("n > 1").select("twice")
+    if twice.isEmpty():
+        return kept
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *(c for c in COLUMNS if c not in ("doc_id", "text"))))
+    again = kept.join(twice, F.col("doc_id") == F.col("twice"), "left_semi").withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    return kept.join(twice, F.col("doc_id") == F.col("twice"), "left_anti").unionByName(again)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
