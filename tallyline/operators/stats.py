@@ -22,7 +22,8 @@ def by_key(df: DataFrame, key: str = KEY, seq: str = SEQ, time: str | None = TIM
 
 def totals(stats: DataFrame) -> DataFrame:
     """One row: rows and keys over all, and the UTC dates of the first and last time (epoch ms)."""
-    day = lambda c: F.date_format(F.timestamp_millis(c), "yyyy-MM-dd")
+    # By days since the epoch, so that the session's time zone has no say.
+    day = lambda c: F.date_add(F.lit("1970-01-01").cast("date"), F.floor(c / 86_400_000).cast("int")).cast("string")
     return stats.agg(
         F.sum("n_rows").alias("n_rows"), F.count("*").alias("n_keys"), day(F.min("ts_min").cast("long")).alias("first_day"), day(F.max("ts_max").cast("long")).alias("last_day")
     )
