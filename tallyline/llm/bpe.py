@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame
 from .common import blank, text_batches
 
 #: Words that either table of a worker holds, and the longest word it takes.
-TABLE_WORDS, TABLE_CHARS = 400_000, 64
+TABLE_WORDS, TABLE_CHARS = 150_000, 64
+#: Pairs of tokens whose rank a worker keeps.
+PAIRS = 200_000
 #: Words that are looked at together.
 SLICE_WORDS = 200_000
 
@@ -56,7 +58,7 @@ class MergeReplay:
         key = left * self.width + right
         rank = self.pairs.get(key)
         if rank is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             rank = self.pairs[key] = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
         return rank
