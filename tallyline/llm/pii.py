@@ -2,18 +2,18 @@
 
 Base spans (email, ip, card, phone) are found by pattern and checked natively. Their
 values are the protected entities. A term is a word of three letters or more that
-stands within ``WINDOW`` characters of an entity. Over the corpus, with N documents,
-n(e) of them having entity e, n(t) having term t anywhere, and n(t, e) differing
-windows that hold both, t reveals of e the share
+stands within ``WINDOW`` characters of an entity. Over the corpus, with N differing texts,
+n(e) of them having entity e, n(t) having term t anywhere, and n(t, e) having both
+in one window, t reveals of e the share
 
     PMI(t, e) / IC(e) = log(n(t, e) N / (n(t) n(e))) / log(N / n(e))
 
-of its information: 1 where t never stands without e. n(e) and n(t, e) count
-differing windows, so copies of one text are one witness. Terms with ``SUPPORT``
-witnesses or more are generalised to a label from the share ``GENERALISE`` on and
-removed from ``REMOVE`` on, in the windows of the entity they reveal.
+of its information: 1 where t never stands without e. All four count differing texts,
+so exact copies count once on either side of the share. Terms that stand with e in
+``SUPPORT`` differing windows or more are generalised to a label from the share
+``GENERALISE`` on and removed from ``REMOVE`` on, in the windows of the entity they reveal.
 
-n(t) is counted over every document, for the terms that have the support; the entities
+n(t) is counted over every differing text, for the terms that have the support; the entities
 and terms are aggregated before each shuffle, so one entity in a third of all rows
 adds a partial row for each task.
 
@@ -141,22 +141,23 @@ def contexts(found: DataFrame, key: list[str]) -> DataFrame:
 
 
 def disclosure(docs: DataFrame, near: DataFrame, text: str = "text") -> DataFrame:
-    """(entity, term, share) for pairs with the support, from ``contexts`` and the whole corpus."""
+    """(entity, term, share) for pairs with the support, from ``contexts`` by ``text_key`` and the whole corpus."""
     windows = near.select("entity", "window", "term").distinct()
-    pairs = windows.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT)
-    entities = near.select("entity", "window").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = materialize(pairs.join(entities, "entity"), "pii-pairs")
+    supported = windows.groupBy("entity", "term").agg(F.count("*").alias("n_windows")).where(F.col("n_windows") >= SUPPORT)
+    both = near.select("entity", "text_key", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    entities = near.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    pairs = materialize(supported.join(both, ["entity", "term"]).join(entities, "entity"), "pii-pairs")
     terms = materialize(pairs.select("term").distinct(), "pii-terms")
-    tokens = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(blank(text)), F.lit(TERM), F.lit(0)))).alias("term"))
+    keyed = docs.select(blank(text).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    tokens = keyed.dropDuplicates(["text_key"]).select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     size = int(str(terms._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size <= BROADCAST_BYTES:
         tokens = tokens.join(F.broadcast(terms), "term", "left_semi")
     counts = tokens.groupBy("term").agg(F.count("*").alias("n_term"))
-    total = docs.count()
+    total = keyed.select("text_key").distinct().count()
     joined = pairs.join(counts, "term")
     information = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    both = F.least("n_both", "n_term").cast("double")
-    share = F.log(both * F.lit(float(max(total, 1))) / (F.col("n_term").cast("double") * F.col("n_entity"))) / information
+    share = F.log(F.least("n_both", "n_term").cast("double") * F.lit(float(max(total, 1))) / (F.col("n_term").cast("double") * F.col("n_entity"))) / information
     return joined.where(information > 0).select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 

@@ -94,6 +94,22 @@ def test_spans_equal_brute_force(spark):
     assert any(m for _, m in want)
 
 
+def test_copies_count_once_on_both_sides_of_the_share(spark):
+    other = "and more of the same prose " * 8
+    texts = ["Zorbulon wrote from z@mail.example.com today"] * 1000 + ["again Zorbulon answered z@mail.example.com"]
+    texts += [f"Quixnar wrote from q@mail.example.com {other} {k}" for k in range(200)] + [f"again Quixnar answered q@mail.example.com {other}"]
+    texts += [f"today somebody wrote and answered again {k}" for k in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.spans(docs).collect():
+        marked = {texts[r.doc_id][s.start : s.stop]: s.kind for s in r.terms}
+        if r.doc_id < 1001:
+            assert marked["Zorbulon"] == "drop" and not {"wrote", "today", "again", "answered"} & marked.keys()
+        elif r.doc_id < 1202:
+            assert marked["Quixnar"] == "drop" and not {"wrote", "again", "answered"} & marked.keys()
+        else:
+            assert not marked
+
+
 def test_sanitise_keeps_rows_and_columns(spark):
     rows = [(1, "mail a@b.co or 10.0.0.1 now", "k"), (2, None, None), (2, None, None), (None, "", "k"), (3, "plain", "k"), (1, "mail a@b.co or 10.0.0.1 now", "k")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
