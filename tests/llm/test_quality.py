@@ -68,6 +68,17 @@ def test_ratio_equals_brute_force(spark):
         assert g[:7] == e[:7] and g[7] == pytest.approx(e[7], abs=1e-9) and g[8] == e[8]
 
 
+def test_every_good_label_counts(spark, monkeypatch):
+    labels = spark.range(25_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    ids = ngram_llr.trusted(labels)
+    assert ids.tolist() == list(range(25_000))
+    docs = spark.createDataFrame([(k, f"text {k} of its own" * (k % 5)) for k in range(24_900, 25_100)] + [(None, "no id"), (24_950, "again")], "doc_id long, text string")
+    monkeypatch.setattr(ngram_llr, "HELD_IDS", 10)
+    table = ngram_llr.trusted(labels)
+    assert not isinstance(table, np.ndarray) and np.allclose(ngram_llr.weights(docs, table), ngram_llr.weights(docs, ids))
+    assert not np.allclose(ngram_llr.weights(docs, table), ngram_llr.weights(docs, ids[:0]))
+
+
 def test_isotonic_equals_plain_pooling():
     rng = np.random.default_rng(2)
     for _ in range(50):
