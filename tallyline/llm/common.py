@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import uuid
@@ -48,9 +49,51 @@ def input_bytes(df: DataFrame) -> int:
     return size if size < 1 << 60 else 8_000_000 * df.rdd.getNumPartitions()
 
 
-def partitions_for(df: DataFrame, mb: float, least: int = 8, most: int = 1 << 16) -> int:
-    """Partitions that give each about ``mb`` of the estimated size of ``df``."""
-    return max(least, min(most, math.ceil(input_bytes(df) / (mb * 1e6))))
+def partitions_for(df: DataFrame, mb: float, least: int = 8) -> int:
+    """Blocks that hold about ``mb`` each of the estimated size of ``df``; as many as that takes."""
+    return max(least, math.ceil(input_bytes(df) / (mb * 1e6)))
+
+
+#: Partitions of a shuffle; where blocks are more, a task has several, one after another.
+MOST_PARTITIONS = 1 << 14
+
+
+def deal(docs: DataFrame, blocks: int) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with their ``block``, dealt out by it.
+
+    A hash of id and text together, so that rows without an id, and those that repeat one, spread by their texts.
+    """
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    return dealt.repartition(min(blocks, MOST_PARTITIONS), "block")
+
+
+def fresh_name(names) -> str:
+    """A column name that none of ``names`` is, in whatever case."""
+    taken, name = {n.lower() for n in names}, "__text"
+    while name in taken:
+        name += "_"
+    return name
+
+
+_KEPT: dict[str, tuple] = {}
+
+
+def kept(owner: str, key: tuple, make):
+    """``make()``, kept by this worker process until ``key`` differs or another operator works here."""
+    release(owner)
+    if owner not in _KEPT or _KEPT[owner][0] != key:
+        _KEPT.pop(owner, None)
+        _KEPT[owner] = key, make()
+    return _KEPT[owner][1]
+
+
+def release(owner: str = "") -> None:
+    """Drop what other operators keep in this worker process, and give free memory back to the system."""
+    for other in [k for k in _KEPT if k != owner]:
+        del _KEPT[other]
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU library
+        trim(0)
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
