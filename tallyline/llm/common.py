@@ -6,12 +6,12 @@ import ctypes
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -116,6 +116,29 @@ def blank(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+#: Items of an array that are worked through together.
+CHUNK = 128
+
+
+def positions(items: Column, advance: Callable[[Column], Column], make: Callable[[Column, Column], Column], kind: str) -> Column:
+    """For each of ``items`` what ``make(at, item)`` is, as an array of ``kind``; ``at`` is the sum of ``advance`` of the items before.
+
+    Appending copies an array, so it is done in chunks: time grows with the items, not with their square.
+    """
+    starts = F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), F.lit(CHUNK))
+    chunks = F.transform(starts, lambda k: F.slice(items, k + 1, F.lit(CHUNK)))
+    state = lambda at, out, of: F.struct(at.cast("int").alias("at"), out.cast(of).alias("out"))
+
+    def step(acc, x):
+        return state(acc["at"] + advance(x), F.concat(acc["out"], F.array(make(acc["at"], x))), f"array<{kind}>")
+
+    def chunk(acc, part):
+        one = F.aggregate(part, state(acc["at"], F.array(), f"array<{kind}>"), step)
+        return state(one["at"], F.concat(acc["out"], F.array(one["out"])), f"array<array<{kind}>>")
+
+    return F.flatten(F.aggregate(chunks, state(F.lit(0), F.array(), f"array<array<{kind}>>"), chunk, lambda acc: acc["out"]))
+
+
 #: Tasks that add up the vectors of all others, and so the most that the driver gets.
 FAN = 16
 

@@ -14,7 +14,12 @@ copies and long texts cost their own length only. Items go to the tasks in block
 
 Defined results: null, empty or blank texts match nothing, nor do such items; items that
 repeat are items of their own; rows of documents that repeat give rows that repeat;
-an empty table on either side gives no row.
+an empty table on either side gives no row. Texts are taken whole, a few MB of them at a time and
+one at least. Columns of the documents may have any name: ``clean`` returns all as they are, and a kept column
+named like one of the results is returned as ``doc_`` and its name.
+
+All items are read to the driver once, as a stated query set; a block of items is one more scan of the
+documents, so the work is that of blocks times texts (16 MB of items are over 100,000 of 150 characters).
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank, text_batches
+from .common import blank, fresh_name, kept, text_batches
 
 #: Characters of an item for each edit of its budget.
 PER_EDIT = 16
@@ -135,15 +140,8 @@ class Matcher:
         return out
 
 
-_MATCHERS: dict[int, Matcher] = {}
-
-
 def _matcher(items: list[tuple[int, str]]) -> Matcher:
-    key = hash(tuple(items))
-    if key not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[key] = Matcher(items)
-    return _MATCHERS[key]
+    return kept("decontaminate", (hash(tuple(items)),), lambda: Matcher(items))
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str) -> list[list[tuple[int, str]]]:
@@ -165,23 +163,26 @@ SCHEMA = "item_id long, edits int, start long, stop long"
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``keep``, item_id, edits, start and stop: the best match of each item in each document that has it."""
-    chosen = docs.select(*keep, blank(text).alias("__text"))
+    taken = {f.split(" ")[0] for f in SCHEMA.split(", ")}
+    names = [f"doc_{k}" if k in taken else k for k in keep]
+    held = fresh_name(names)
+    chosen = docs.select(*(F.col(k).alias(n) for k, n in zip(keep, names, strict=True)), blank(text).alias(held))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]]
     schema = ", ".join([*fields, SCHEMA])
 
     def scan(items: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = _matcher(items)
-            for batch in text_batches(batches, "__text"):
+            for batch in text_batches(batches, held):
                 rows, found = [], []
-                for row, value in enumerate(batch.column("__text").to_pylist()):
+                for row, value in enumerate(batch.column(held).to_pylist()):
                     for k, edits, start, stop in matcher.find(plain(value)):
                         rows.append(row)
                         found.append((matcher.items[k][0], edits, start, stop))
                 if rows:
                     ids, edits, starts, stops = zip(*found, strict=True)
                     take = batch.take(pa.array(rows))
-                    yield pa.RecordBatch.from_arrays([*(take.column(c) for c in keep), pa.array(ids, pa.int64()), pa.array(edits, pa.int32()), pa.array(starts, pa.int64()), pa.array(stops, pa.int64())], names=[*keep, "item_id", "edits", "start", "stop"])
+                    yield pa.RecordBatch.from_arrays([*(take.column(c) for c in names), pa.array(ids, pa.int64()), pa.array(edits, pa.int32()), pa.array(starts, pa.int64()), pa.array(stops, pa.int64())], names=[*names, "item_id", "edits", "start", "stop"])
 
         return run
 
@@ -195,14 +196,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", keep:
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no item is found, with their columns; nothing is shuffled."""
     columns = docs.columns
-    chosen = docs.withColumn("__text", blank(text))
+    held = fresh_name(columns)
+    chosen = docs.withColumn(held, blank(text))
     blocks = _blocks(benchmark, "item_id", "text")
 
     def drop(items: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = _matcher(items)
-            for batch in text_batches(batches, "__text"):
-                keep = [not matcher.find(plain(value)) for value in batch.column("__text").to_pylist()]
+            for batch in text_batches(batches, held):
+                keep = [not matcher.find(plain(value)) for value in batch.column(held).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         return run

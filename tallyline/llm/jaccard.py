@@ -13,7 +13,8 @@ Two documents link when the Jaccard similarity of their sets of word shingles is
 3. Candidates. Small sets among themselves must share two of one shingle more, so each
    lists the pairs of its prefix (subsets of fixed size); pairs with a large set come from
    the inverted lists of single shingles. The size that divides them is the one for
-   which pairs listed plus list entries scanned are fewest, from exact counts by size.
+   which pairs listed plus list entries scanned are fewest, from exact counts by size. Lists of the same
+   entries are one list, so near copies cost a row or two each, not one for each shingle.
 4. Verification. First each document is compared with one leader of its lists, and
    what links is one component. Only lists that still hold several components are
    looked at again, by leaders of each round, then by the pairs across components whose counts allow a link. So a
@@ -24,7 +25,8 @@ Frequencies above 255 count as 255: any order that all sets share gives the same
 
 Defined results: a null or blank text has an empty set and links with nothing; fewer than
 five words are one shingle; rows that repeat an id belong together; a null id keeps a
-null component; an empty table gives none. Texts are taken whole, at any length.
+null component; an empty table gives none. Texts are taken whole, at any length; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank, materialize, partitions_for
+from .common import blank, deal, materialize, partitions_for, release
 from .graph import components
 from .shingles import mix, shingle_sets
 
@@ -44,8 +46,6 @@ THRESHOLD = 75
 #: MB of input, as estimated by the optimiser, in a block.
 BLOCK_MB = 6
 LEAST_BLOCKS = 64
-#: Sets larger than this are never small: their pairs grow with the square.
-MOST_SMALL = 48
 #: Rounds of leaders before all pairs across components are compared.
 ROUNDS = 3
 _CAP = 255
@@ -76,6 +76,7 @@ def _split(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def _ask(buckets: int):
     def run(table: pa.Table) -> pa.Table:
+        release("jaccard")
         sets, _ = _sets(table)
         keys = np.sort(_split(np.concatenate(sets) if sets else np.zeros(0, np.uint64), buckets))
         cuts = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)).tolist()
@@ -105,6 +106,7 @@ _DIGEST = "doc_id long, n int, f1 long, f2 long, own boolean, shared array<long>
 
 def _prefixes(buckets: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        release("jaccard")
         sets, ids = _sets(docs)
         keys = [_split(s, buckets) for s in sets]
         every = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
@@ -146,22 +148,28 @@ def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     """For every row its id, set size and fingerprints; for the first of each set in a block that may link,
     its shared shingles and its prefix, of which ``first`` belong to the prefix for single shingles."""
     blocks = partitions_for(docs, BLOCK_MB, least=LEAST_BLOCKS)
-    dealt = docs.select(F.col(doc_id).cast("long").alias("doc_id"), blank(text).alias("text")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    dealt = deal(docs.select(F.col(doc_id).cast("long").alias("doc_id"), blank(text).alias("text")), blocks)
     asked = dealt.groupBy("block").applyInArrow(_ask(blocks), "block int, bucket int, keys binary")
     answers = asked.groupBy("bucket").applyInArrow(_answer, "block int, bucket int, counts binary")
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_prefixes(blocks), _DIGEST)
 
 
-def _boundary(entries: DataFrame) -> int:
-    """The size up to which sets are small: fewest pairs listed plus list entries scanned."""
-    lists = entries.where("pos < first").groupBy("h").agg(F.count("*").alias("m"))
-    scanned = entries.where("pos < first").join(lists, "h").groupBy("n").agg(F.sum("m").alias("scanned"))
-    listed = entries.where(F.col("n") <= MOST_SMALL).groupBy("n").agg(F.sum("pos").alias("listed"))
-    rows = {r.n: (r.scanned or 0, r.listed or 0) for r in scanned.where(F.col("n") <= MOST_SMALL).join(listed, "n", "full_outer").collect()}
+def _boundary(entries: DataFrame, sets: DataFrame) -> int:
+    """The size up to which sets are small: fewest pairs listed plus list entries scanned.
+
+    A list is scanned only if it holds a large set, and each of its entries once, as leaders
+    do; a small set lists the pairs of its prefix. Of equal costs the largest size wins, as
+    pairs lead to fewer false candidates. The driver gets a row for each differing size of sets.
+    """
+    lists = entries.where("pos < first").groupBy("h").agg(F.count("*").alias("m"), F.max("n").alias("n"))
+    scanned = lists.where("m > 1").groupBy("n").agg(F.sum("m").alias("scanned"))
+    length = F.size("prefix").cast("long")
+    listed = sets.groupBy("n").agg(F.sum(length * (length - 1) / 2).cast("long").alias("listed"))
+    rows = {r.n: (r.scanned or 0, r.listed or 0) for r in scanned.join(listed, "n", "full_outer").collect()}
     best, cost, at = 0, 0, 0
     for n in sorted(rows):
         cost += rows[n][1] - rows[n][0]
-        if cost < best:
+        if cost <= best:
             best, at = cost, n
     return at
 
@@ -175,18 +183,32 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(fits).select("a", "b")
 
 
-def _lists(entries: DataFrame, small: int) -> DataFrame:
+def _lists(entries: DataFrame, sets: DataFrame, small: int) -> DataFrame:
     """(h, doc, n, large): single shingles for pairs with a large set, pairs of shingles for small sets."""
     large = F.col("n") > small
     single = entries.where("pos < first").select("h", "doc", "n", large.alias("large"))
-    with_large = single.where("large").select("h").distinct()
-    single = single.join(with_large, "h", "left_semi") if small else single
     if not small:
         return single
-    own = entries.where(~large)
-    pairs = own.select(F.col("h").alias("h1"), "doc", "n", F.col("pos").alias("p1")).join(own.select(F.col("h").alias("h2"), F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("pos").alias("p2")), (F.col("doc") == F.col("doc2")) & (F.col("n") == F.col("n2")) & (F.col("p1") < F.col("p2")))
-    subset = pairs.select(F.xxhash64(F.least("h1", "h2"), F.greatest("h1", "h2")).alias("h"), "doc", "n", F.lit(True).alias("large"))
-    return single.unionByName(subset)
+    single = single.join(single.where("large").select("h").distinct(), "h", "left_semi")
+    first = sets.where(~large).select("doc", "n", "prefix", F.posexplode("prefix").alias("pos", "h1"))
+    both = first.select("doc", "n", "h1", F.explode(F.slice("prefix", F.col("pos") + 2, F.size("prefix"))).alias("h2"))
+    return single.unionByName(both.select(F.xxhash64(F.least("h1", "h2"), F.greatest("h1", "h2")).alias("h"), "doc", "n", F.lit(True).alias("large")))
+
+
+def _differing(lists: DataFrame) -> DataFrame:
+    """One list of those that hold the same entries, and none of a single entry.
+
+    Texts that are nearly alike share most of a prefix, and so as many equal lists; entries
+    are compared by sums of four hashes of 28 bits, which no list can overflow.
+    """
+    marks = []
+    for salt in (1, 2):
+        mark = F.xxhash64("doc", "n", "large", F.lit(salt))
+        marks += [F.sum(F.shiftrightunsigned(mark, 36)), F.sum(mark.bitwiseAND(F.lit((1 << 28) - 1)))]
+    sums = [x.alias(f"s{k}") for k, x in enumerate(marks)]
+    sizes = lists.groupBy("h").agg(F.count("*").alias("m"), *sums).where("m > 1")
+    kept = sizes.groupBy("m", "s0", "s1", "s2", "s3").agg(F.min("h").alias("h")).select("h")
+    return lists.join(kept, "h", "left_semi")
 
 
 def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -197,10 +219,7 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     kept = every.where("own").join(classes, ["f1", "f2", "n"]).where(F.col("doc_id") == F.col("doc"))
     sets = materialize(kept.select("doc", "n", "shared", "prefix", "first").dropDuplicates(["doc", "n", "prefix"]), "jaccard-sets")
     entries = sets.select("doc", "n", "first", F.posexplode("prefix").alias("pos", "h"))
-    small = _boundary(entries)
-    lists = _lists(entries, small)
-    sizes = lists.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
-    lists = materialize(lists.join(sizes, "h"), "jaccard-lists")
+    lists = materialize(_differing(_lists(entries, sets, _boundary(entries, sets))), "jaccard-lists")
 
     # A node is a document; ids that repeat with other texts hold their sets together.
     labels = sets.select(F.col("doc").alias("node"), F.col("doc").alias("component")).distinct()
@@ -209,8 +228,11 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     active = lists
     for turn in range(ROUNDS + 1):
         marked = active.join(labels, F.col("doc") == F.col("node")).drop("node")
-        open_ = marked.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("h")
-        active = materialize(marked.join(open_, "h"), "jaccard-open")
+        if turn:  # at first every document is its own component, and every list open
+            marked = materialize(marked, "jaccard-marked")
+            open_ = marked.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("h")
+            marked = marked.join(open_, "h", "left_semi")
+        active = materialize(marked, "jaccard-open")
         if active.isEmpty():
             break
         pairs = _leaders(active, turn) if turn < ROUNDS else _across(active, sets)

@@ -38,6 +38,14 @@ def cases():
     return items, texts
 
 
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "an exact benchmark item stands here", "kept", 7), (2, "nothing", "kept", 8)], "doc_id long, text string, __text string, start int")
+    items = spark.createDataFrame([(5, "exact benchmark item")], "item_id long, text string")
+    assert [tuple(r) for r in d.clean(docs, items).collect()] == [(2, "nothing", "kept", 8)]
+    [row] = d.matches(docs, items, keep=("doc_id", "start", "__text")).collect()
+    assert row.asDict() == {"doc_id": 1, "doc_start": 7, "__text": "kept", "item_id": 5, "edits": 0, "start": 3, "stop": 23}
+
+
 def test_matches_equal_brute_force(spark):
     items, texts = cases()
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, start int")

@@ -69,11 +69,40 @@ def test_rounds_sizes_nulls_and_repeated_ids(spark, monkeypatch):
     want = brute(rows)
     assert sorted(map(tuple, jaccard.join(docs).collect()), key=str) == want
     monkeypatch.setattr(jaccard, "ROUNDS", 0)
-    monkeypatch.setattr(jaccard, "_boundary", lambda entries: 30)
+    monkeypatch.setattr(jaccard, "_boundary", lambda entries, sets: 30)
     assert sorted(map(tuple, jaccard.join(docs).collect()), key=str) == want
     assert jaccard.join(docs.where("false")).count() == 0
 
 
+def test_rows_without_ids(spark):
+    rows = [(None if k % 10 else k, " ".join(f"w{(k * j) % 13}" for j in range(9))) for k in range(300)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, block string, component_id int")
+    assert sorted(map(tuple, jaccard.join(docs).collect()), key=str) == brute(rows)
+
+
+def test_boundary_by_cost_and_lists_that_grow_with_their_rows(spark):
+    """Small sets list pairs where that is no dearer; a group of near copies costs rows in proportion to its size, not its square."""
+    shape = "doc long, n int, shared array<long>, prefix array<long>, first int"
+    tiny = spark.createDataFrame([(k, 4, [1, 2, 3, k], [1, 2], 1) for k in range(9, 29)] + [(99, 400, [1, 7], [1, 7], 2)], shape)
+    entries = tiny.selectExpr("doc", "n", "first", "posexplode(prefix) as (pos, h)")
+    assert jaccard._boundary(entries, tiny) == 4
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(48)]
+    kept = []
+    for size in (50, 200, 800):
+        rows = []
+        for k in range(size):
+            words = list(base)
+            words[rng.randrange(48)] = f"x{k % 40}"
+            rows.append((k, " ".join(words)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        sets = jaccard.digests(docs).where("own").selectExpr("doc_id as doc", "n", "shared", "prefix", "first").dropDuplicates(["prefix", "n"]).cache()
+        entries = sets.selectExpr("doc", "n", "first", "posexplode(prefix) as (pos, h)")
+        kept.append(jaccard._differing(jaccard._lists(entries, sets, jaccard._boundary(entries, sets))).count())
+        assert {r.component_id for r in jaccard.join(docs).collect()} == {0}
+    assert kept[2] <= 5 * kept[1] + 200
+
+
 def test_components_of_paths_and_stars(spark):
     rng = random.Random(4)
     path = [(i, i + 1) for i in range(40)]

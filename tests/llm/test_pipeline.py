@@ -35,6 +35,21 @@ def test_stages_one_by_one(spark):
         assert np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(masked[r.doc_id])
 
 
+def test_empty_tables_and_other_columns(spark, tmp_path):
+    shape = "doc_id long, text string, lang string, source string, n_chars long, __text string, score double, n int, component_id long, block int"
+    rows = [(k, f"some words of a text {k} " * 20, "en", "s", 5, "x", 0.5, 1, 2, 3) for k in range(30)]
+    for name, data in (("none", []), ("some", rows)):
+        path = f"{tmp_path}/{name}"
+        spark.createDataFrame(data, shape).write.parquet(f"{path}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+        docs = spark.read.parquet(f"{path}/documents.parquet")
+        for stage, function in corpus_pipeline.STAGES[:-1]:
+            docs = function(spark, docs, path)
+            assert docs.columns == [c.split(" ")[0] for c in shape.split(", ")], stage
+        assert corpus_pipeline.run(spark, path).count() == (0 if not data else docs.count())
+
+
 def test_run_and_odd_rows(spark, tmp_path):
     rows = [(1, "one two three four five six seven", "en", None, 5), (2, None, None, None, None), (3, "", "en", "s", 0), (None, "no id", "en", "s", 5), (1, "one two three four five six seven", "en", None, 5)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
