@@ -3,8 +3,8 @@
 A shard file holds the ids of consecutive documents. Plane ``l`` has bit ``l`` (from
 the highest) of every id, in the order that stable partitions by the planes above
 leave; a directory of ones before each block of 512 bits makes rank O(1), and with
-it access, counting and occurrence lookup take one step a plane, from the one file.
-A shard takes ``bits`` of an id, not 32, and about 6 % more for the directories.
+it access and counting take one step a plane, and occurrence lookup one binary search of the directory, from the one file.
+A shard takes ``bits`` of an id, not 32, and about 6 % more for the directories; the planes are succinct, not entropy-coded.
 
 File format, all integers little-endian: magic ``TLWM``, version u32, bits u32, docs
 u64, null doc ids u64 (they come first), ids u64, zeros of each plane u64; doc ids i64
@@ -31,7 +31,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blank, partitions_for, shared_path, text_batches
+from .common import MOST_PARTITIONS, blank, kept, partitions_for, shared_path, text_batches
 
 MAGIC, VERSION, BLOCK = b"TLWM", 1, 512
 HEAD = struct.Struct("<4sIIQQQ")
@@ -39,6 +39,8 @@ HEAD = struct.Struct("<4sIIQQQ")
 TABLE_WORDS, TABLE_CHARS = 500_000, 64
 #: MB of input, as estimated by the optimiser, for each shard.
 SHARD_MB = 12
+#: Ids from which a task closes a shard and begins the next.
+SHARD_IDS = 16 << 20
 
 
 #: Places that are moved at a time, so that they stay in the processor's cache.
@@ -124,12 +126,19 @@ class Shard:
 
     def _find(self, level: int, one: bool, k: int) -> int:
         """The place of the ``k``-th (from 0) one or zero of a plane."""
-        directory = self.directories[level].astype(np.int64)
-        if not one:
-            directory = np.minimum(np.arange(len(directory)) * BLOCK, self.n) - directory
-        block = int(np.searchsorted(directory, k, "right")) - 1
+        directory = self.directories[level]
+
+        def before(block: int) -> int:
+            """Such bits before a block."""
+            ones = int(directory[block])
+            return ones if one else min(block * BLOCK, self.n) - ones
+
+        block, end = 0, len(directory) - 1
+        while end - block > 1:  # the last block with k or fewer before it
+            middle = (block + end) // 2
+            block, end = (middle, end) if before(middle) <= k else (block, middle)
         bits = np.unpackbits(self.planes[level][block * BLOCK // 8 : (block + 1) * BLOCK // 8], bitorder="little")
-        return block * BLOCK + int(np.flatnonzero(bits == one)[k - directory[block]])
+        return block * BLOCK + int(np.flatnonzero(bits == one)[k - before(block)])
 
     def access(self, i: int) -> int:
         """The id at place ``i``."""
@@ -195,7 +204,6 @@ _WORD = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LOW}]+|[{_NUM}]|[^\\s{_LOW}{_NUM}]
 _SIMPLE = re.compile("[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff \n.,]*")
 _TOUCHING = (".  .", ".  ,", ",  .", ",  ,")
 _CHUNK = re.compile(r"[^ \t\n\r\f\v]+")
-_TOKENIZERS: dict = {}
 
 
 class WordTokenizer(dict):
@@ -239,10 +247,7 @@ def _words(text: str) -> list[str]:
 
 
 def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
+    return kept("wavelet", (path,), lambda: WordTokenizer(path))
 
 
 def _open_dir(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -252,46 +257,54 @@ def _open_dir(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
 # ----------------------------------------------------------------- writing and reading
 
 
-def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, *, doc_id: str = "doc_id", text: str = "text", shard_mb: float = SHARD_MB) -> DataFrame:
+def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, *, doc_id: str = "doc_id", text: str = "text", shard_mb: float = SHARD_MB, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Encode every text and write shards in ascending order of documents; returns the manifest.
 
-    A shard is one range of ``doc_id``. It is written under a name of its own and then
+    A task has one range of ``doc_id`` and cuts it into shards of about ``shard_ids`` ids, so shards
+    and what a task holds stay as large whatever the input. A shard is written under a name of its own and then
     renamed, so a task that runs twice leaves one whole file. The manifest (a row for
     each shard: shard, path, n_docs, n_tokens) is kept beside the shards.
     """
     spark = docs.sparkSession
     folder = folder or shared_path(spark, "shards")
-    n = partitions_for(docs, shard_mb)
+    n = min(partitions_for(docs, shard_mb), MOST_PARTITIONS)
     ordered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), blank(text).alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, ids, docs_of, sizes = _tokenizer(tokenizer), [], [], []
+        coder, first = _tokenizer(tokenizer), TaskContext.get().partitionId() << 16
+        bits = max(1, (max(coder.size - 1, end_id)).bit_length())
+        fs, root = _open_dir(folder)
+        fs.create_dir(root, recursive=True)
+        ids, docs_of, sizes, shard, held = [], [], [], first, 0
+
+        def written() -> pa.RecordBatch:
+            data = build(np.concatenate(ids), docs_of, np.cumsum(sizes), bits)
+            own, path = f"{root}/.{uuid.uuid4().hex}", f"{root}/shard-{shard:010d}.wvm"
+            with fs.open_output_stream(own) as file:
+                file.write(data)
+            fs.move(own, path)
+            return pa.RecordBatch.from_pylist([{"shard": shard, "path": f"{folder}/shard-{shard:010d}.wvm", "n_docs": len(docs_of), "n_tokens": int(sum(sizes))}], schema=_MANIFEST)
+
         for batch in text_batches(batches, "text"):
             coded = coder.encode(batch.column("text").to_pylist(), end)
             docs_of += batch.column("doc_id").to_pylist()
             sizes += [len(x) // 4 for x in coded]
             ids.append(np.frombuffer(b"".join(coded), "<u4").astype("<u2" if coder.size <= 1 << 16 else "<u4"))
-        if not docs_of:
-            return
-        shard = TaskContext.get().partitionId()
-        bits = max(1, (max(coder.size - 1, end_id)).bit_length())
-        data = build(np.concatenate(ids), docs_of, np.cumsum(sizes), bits)
-        fs, root = _open_dir(folder)
-        fs.create_dir(root, recursive=True)
-        own, path = f"{root}/.{uuid.uuid4().hex}", f"{root}/shard-{shard:06d}.wvm"
-        with fs.open_output_stream(own) as file:
-            file.write(data)
-        fs.move(own, path)
-        yield pa.RecordBatch.from_pylist([{"shard": shard, "path": f"{folder}/shard-{shard:06d}.wvm", "n_docs": len(docs_of), "n_tokens": int(sum(sizes))}], schema=_MANIFEST)
+            held += len(ids[-1])
+            if held >= shard_ids:
+                yield written()
+                ids, docs_of, sizes, shard, held = [], [], [], shard + 1, 0
+        if docs_of:
+            yield written()
 
-    ordered.mapInArrow(run, "shard int, path string, n_docs long, n_tokens long").write.parquet(f"{folder}/manifest")
-    return spark.read.schema("shard int, path string, n_docs long, n_tokens long").parquet(f"{folder}/manifest")
+    ordered.mapInArrow(run, "shard long, path string, n_docs long, n_tokens long").write.parquet(f"{folder}/manifest")
+    return spark.read.schema("shard long, path string, n_docs long, n_tokens long").parquet(f"{folder}/manifest")
 
 
-_MANIFEST = pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
+_MANIFEST = pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
 

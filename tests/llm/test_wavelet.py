@@ -15,6 +15,21 @@ def ids_of(text):
     return [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 2]
 
 
+def test_shards_are_cut_inside_a_task(spark):
+    """Shards of a few ids each; what is read back does not depend on where they end. Select finds every place of a long plane."""
+    rows = [(k % 37, f"word{k} and more of it " * (k % 6)) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = P.path("word_bpe_49k.json")
+    read = lambda n: sorted((r.doc_id, r.start, r.n_tokens, bytes(r.ids)) for r in wavelet.read_documents(wavelet.write(docs, path, 2, shard_ids=n)).collect())
+    assert read(20) == read(1 << 24)
+    rng = np.random.default_rng(1)
+    ids = rng.choice([1, 5, 5, 5, 9], 20_000)
+    shard = wavelet.Shard(wavelet.build(ids, [1], np.array([len(ids)]), 4))
+    for token in (1, 5, 9):
+        places = np.flatnonzero(ids == token)
+        assert [shard.select(token, int(k)) for k in range(0, len(places), 97)] == places[::97].tolist()
+
+
 def test_shard_answers():
     rng = random.Random(3)
     for n, bits in ((0, 3), (1, 1), (700, 4), (5000, 16), (1536, 17)):
