@@ -6,7 +6,8 @@ the learning texts; a node's weighted probability is half its own estimate and h
 product of its children's, and so a decision's probability mixes the estimates
 of all depths, with weights that follow from the counts in closed form. A path ends at
 the deepest context that learning met. Texts are lower-cased (A-Z) and end in a byte
-that UTF-8 never has, which is also the context before their start.
+that UTF-8 never has, which is also the context before their start. The code length of a text is the
+negative logarithm of its probability; ``bits_per_byte`` divides it by its bytes and end.
 
 Counts are of runs of ``DEPTH`` + 1 bytes, dealt into buckets by the two context bytes
 nearest the decision, so that subtrees below depth two are whole in one bucket; of depths
@@ -17,7 +18,8 @@ a block or a bucket; both are sized by the input, and what is gathered grows wit
 
 Defined results: a null or empty text is its end alone; rows that repeat learn and score
 as often as they are there; a null id counts as the empty id; without learning texts
-every decision is one half and every count zero; an empty table gives no row.
+every decision is one half and every count zero; an empty table gives no row. Other columns
+are not read; a text of any length is scored whole, in one block with others.
 """
 
 from __future__ import annotations
@@ -30,12 +32,14 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank, materialize, partitions_for, summed, text_batches
+from .common import blank, deal, materialize, partitions_for, release, summed, text_batches
 from .shingles import words
 
 DEPTH = 5
 END = 255
 BLOCK_MB, LEAST_BLOCKS = 8, 64
+#: Blocks that one task answers for a bucket: of a bucket that all ask, each so many blocks get a copy.
+ASKERS = 4096
 #: Bytes of texts that are looked at together.
 STEP = 1 << 20
 _LOG_HALF = float(np.log(0.5))
@@ -296,6 +300,7 @@ _ASKED = pa.schema([("block", pa.int32()), *_KINDS])
 
 def _ask(buckets: int):
     def run(table: pa.Table) -> pa.Table:
+        release("ctw")
         held, tokens = _Gatherer(), _Gatherer()
         for raws in _steps(table.column("text").to_pylist()):
             held.add(runs(raws)[0])
@@ -342,6 +347,7 @@ def _answers(table: pa.Table, kind: str, number) -> np.ndarray:
 
 def _score(buckets: int, total: int, distinct: int, ends: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        release("ctw")
         values = {"run": _answers(answers, "run", np.float32), "word": _answers(answers, "word", np.float64)}
         held, tokens = _Gatherer(), _Gatherer()
         texts = docs.column("text").to_pylist()
@@ -355,7 +361,7 @@ def _score(buckets: int, total: int, distinct: int, ends: int):
             value = np.empty(len(keys))
             value[order] = values[kind]
             sorted_keys[kind] = keys, value
-        scores, bases, sizes, known = [], [], [], []
+        scores, bases, sizes, known, lengths = [], [], [], [], []
         below = np.log10(total + distinct + 1.0)
         end_score = float(np.log10(ends + 1.0) - below)
         for raws in _steps(texts):
@@ -363,6 +369,7 @@ def _score(buckets: int, total: int, distinct: int, ends: int):
             table, value = sorted_keys["run"]
             sums = np.concatenate([[0.0], np.cumsum(value[np.searchsorted(table, keys)])])
             scores.append(sums[begins[1:]] - sums[begins[:-1]])
+            lengths.append(np.diff(begins))  # of bytes and the end
             keys, begins = words(raws)
             table, value = sorted_keys["word"]
             count = value[np.searchsorted(table, keys)] if len(keys) else np.zeros(0)
@@ -376,13 +383,14 @@ def _score(buckets: int, total: int, distinct: int, ends: int):
                 "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n, pa.int64()),
                 "n_known": pa.array(np.rint(np.concatenate(known)).astype(np.int64) + (ends > 0)), "train_tokens": pa.array(np.full(len(n), total, np.int64)),
                 "base_score": pa.array(np.concatenate(bases) + end_score), "score": pa.array(np.concatenate(scores)),
+                "bits_per_byte": pa.array(-np.concatenate(scores) / np.log10(2) / np.concatenate(lengths)),
             }
         )
 
     return run
 
 
-RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
 
 
 def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -395,7 +403,8 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     top = top_tables(sums[:-2].reshape(3, -1))
     ends = chosen.where("not held_out").select("held_out").count()
     total, distinct = round(sums[-2]) + ends, round(sums[-1]) + (ends > 0)
-    dealt = chosen.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    asked = dealt.groupBy("block").applyInArrow(_ask(blocks), f"block int, {_PACKED}")
-    answers = asked.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(_answer(top), f"block int, {_PACKED}")
+    dealt = deal(chosen, blocks)
+    asked = dealt.groupBy("block").applyInArrow(_ask(blocks), f"block int, {_PACKED}").withColumn("turn", F.expr(f"block div {ASKERS}"))
+    turns = model.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit((blocks - 1) // ASKERS)).cast("array<bigint>")))
+    answers = asked.groupBy("bucket", "turn").cogroup(turns.groupBy("bucket", "turn")).applyInArrow(_answer(top), f"block int, {_PACKED}")
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(blocks, total, distinct, ends), RESULT)

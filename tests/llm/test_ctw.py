@@ -62,7 +62,7 @@ def brute(rows):
                 total += math.log10(0.5 if p is None else p)
         tokens = [*re.findall(r"[^\x20\x09-\x0D]+", low(t)), None]
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens)
-        out.append((d, zlib.crc32(str(d).encode()) % 7 == 2, len(tokens), sum(counts[w] > 0 for w in tokens), n, base, total))
+        out.append((d, zlib.crc32(str(d).encode()) % 7 == 2, len(tokens), sum(counts[w] > 0 for w in tokens), n, base, total, -total / math.log10(2) / len(symbols(t))))
     return out
 
 
@@ -70,7 +70,7 @@ def same(got, want):
     got, want = sorted(map(tuple, got)), sorted(want)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     for g, w in zip(got, want, strict=True):
-        assert g[5] == pytest.approx(w[5], rel=1e-9, abs=1e-9) and g[6] == pytest.approx(w[6], rel=1e-5, abs=1e-5)
+        assert g[5] == pytest.approx(w[5], rel=1e-9, abs=1e-9) and g[6] == pytest.approx(w[6], rel=1e-5, abs=1e-5) and g[7] == pytest.approx(w[7], rel=1e-5)
 
 
 def test_scores_equal_brute_force(spark):
@@ -82,6 +82,27 @@ def test_scores_equal_brute_force(spark):
     assert ctw.score(docs.where("false")).count() == 0
 
 
+def test_rows_without_ids_spread(spark):
+    """Nine of ten rows have no id, and repeat it so: they are dealt by their texts."""
+    rows = [(None if k % 10 else k, f"text {k % 97} of some kind" * (k % 4)) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in ctw.score(docs).collect()]
+    want = [(d, zlib.crc32(b"" if d is None else str(d).encode()) % 7 == 2) for d, _ in rows]
+    assert sorted(map(str, (g[:2] for g in got))) == sorted(map(str, want))
+    from tallyline.llm.common import deal
+
+    sizes = [r.n for r in deal(docs.selectExpr("doc_id", "coalesce(text, '') text"), 16).groupBy("block").agg({"*": "count"}).toDF("block", "n").collect()]
+    assert len(sizes) == 16 and max(sizes) < 150
+
+
+def test_many_askers(spark, monkeypatch):
+    rows = [(k, f"some words {k} " * (k % 5)) for k in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, ctw.score(docs).collect()))
+    monkeypatch.setattr(ctw, "ASKERS", 2)
+    assert sorted(map(tuple, ctw.score(docs).collect())) == want
+
+
 def test_without_learning_texts(spark):
     rows = [(d, "some text") for d in range(200) if zlib.crc32(str(d).encode()) % 7 == 2]
     got = ctw.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
