@@ -3,8 +3,8 @@
 Statistics of a text are standardised and mapped to ``DIM`` cosines whose random
 directions, drawn from a fixed seed, make their inner products a Gaussian kernel of
 width ``WIDTH``. Every task sums x x' and x y over its labelled rows; the driver solves
-the ridge equations of fixed size. Raw scores of the labelled rows are then counted in
-``BINS`` bins, and pooling adjacent violators makes them a rising map to [0, 1].
+the ridge equations of fixed size. Raw scores of the labelled rows, by equations of the other half of
+them, are then counted in ``BINS`` bins, and pooling adjacent violators makes them a rising map to [0, 1].
 
 Every labelled row of the training folds is used, every document is scored. What the
 driver gets is of fixed size, as is what tasks get. The statistics are worked out once
@@ -12,7 +12,8 @@ and written to the shared folder; labels meet them by id, not the texts.
 
 Defined results: a null or empty text has the score of all-zero statistics; labels of
 null quality or of ids that are not there are not used; an id labelled twice counts
-twice; documents that repeat are scored alike; with no label every score is 0.5.
+twice; documents that repeat are scored alike; with no label every score is 0.5. An empty table gives no row; other columns are not read; texts are
+taken whole, a few MB of them at a time and one at least; equal texts have equal scores.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank, materialize, summed, text_batches
+from .common import blank, materialize, release, summed, text_batches
 from .textstats import FEATURES, features
 
 DIM, WIDTH, RIDGE, SEED, BINS = 256, 4.0, 1.0, 20240, 2000
@@ -38,6 +39,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), blank(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release("rff")
         for batch in text_batches(batches, "text"):
             values = [np.array(features(t)).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.binary())], names=["doc_id", "x"])
@@ -54,10 +56,10 @@ def _vectors(frame: DataFrame, size: int, add) -> np.ndarray:
         total = np.zeros(size)
         for batch in batches:
             if len(batch):
-                add(total, _matrix(batch.column("x")), batch.column("y").to_numpy(zero_copy_only=False))
+                add(total, _matrix(batch.column("x")), *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "half")))
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["v"])
 
-    return summed(frame.select("x", F.col("y").cast("double").alias("y")).mapInArrow(run, "v binary"), size)
+    return summed(frame.select("x", "y", "half").mapInArrow(run, "v binary"), size)
 
 
 class Model:
@@ -76,12 +78,11 @@ class Model:
         z = np.clip((x - self.mean) / self.scale, -REACH, REACH)
         return np.hstack([np.sqrt(2 / DIM) * np.cos(z @ self.directions + self.phases), np.ones((len(x), 1))])
 
-    def bins(self, x: np.ndarray) -> np.ndarray:
-        raw = self.map(x) @ self.beta
+    def bin(self, raw: np.ndarray) -> np.ndarray:
         return np.clip((raw - self.low) / (self.high - self.low) * BINS, 0, BINS - 1).astype(np.int64)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return self.steps[self.bins(x)]
+        return self.steps[self.bin(self.map(x) @ self.beta)]
 
 
 def isotonic(good: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -100,11 +101,15 @@ def isotonic(good: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 
 def fit(stats: DataFrame, labels: DataFrame) -> Model:
-    """Learn from ``labels`` (doc_id, y of 0 or 1) and the ``statistics`` of the documents."""
-    held = stats.join(labels.where("y is not null").select("doc_id", "y"), "doc_id").select("x", "y")
-    held = materialize(held, "rff-train")
+    """Learn from ``labels`` (doc_id, y of 0 or 1) and the ``statistics`` of the documents.
 
-    def moments(total, x, y):
+    The scores that are calibrated are those of a ridge that has not seen the row: the normal equations
+    are summed for either half of the ids, each half is scored by the other's solution, and the classifier itself is solved from both.
+    """
+    held = stats.join(labels.where("y is not null").select("doc_id", "y"), "doc_id")
+    held = materialize(held.select("x", F.col("y").cast("double").alias("y"), F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")), "rff-train")
+
+    def moments(total, x, y, half):
         total[:N] += x.sum(0)
         total[N : 2 * N] += (x * x).sum(0)
         total[2 * N] += len(x)
@@ -117,18 +122,24 @@ def fit(stats: DataFrame, labels: DataFrame) -> Model:
         return model
     d = DIM + 1
 
-    def normal(total, x, y):
+    def normal(total, x, y, half):
         z = model.map(x)
-        total[: d * d] += (z.T @ z).ravel()
-        total[d * d : d * d + d] += z.T @ y
-        total[-1] += y.sum()
+        for k, part in enumerate(total.reshape(2, -1)):
+            own, target = z[half == k], y[half == k]
+            part[: d * d] += (own.T @ own).ravel()
+            part[d * d :] += own.T @ target
+
+    def solved(sums):
+        return np.linalg.solve(sums[: d * d].reshape(d, d) + RIDGE * np.eye(d), sums[d * d :])
 
-    sums = _vectors(held, d * d + d + 1, normal)
-    model.beta = np.linalg.solve(sums[: d * d].reshape(d, d) + RIDGE * np.eye(d), sums[d * d : -1])
+    sums = _vectors(held, 2 * (d * d + d), normal).reshape(2, -1)
+    model.beta = solved(sums.sum(0))
     model.low, model.high = -0.5, 1.5
+    others = [solved(sums[1]), solved(sums[0])]  # by half: learned from the other
 
-    def counted(total, x, y):
-        k = model.bins(x)
+    def counted(total, x, y, half):
+        z = model.map(x)
+        k = model.bin(np.where(half == 0, z @ others[0], z @ others[1]))
         total[:BINS] += np.bincount(k, weights=y, minlength=BINS)
         total[BINS:] += np.bincount(k, minlength=BINS)
 
