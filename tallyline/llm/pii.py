@@ -1,7 +1,7 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
-Base spans (email, ip, card, phone) are found by pattern and checked natively. Their
-values are the protected entities. A term is a word of three letters or more that
+Base spans (email, ip, card, phone) are found by pattern and checked natively, and so are
+secrets (keys and tokens). Their values are the protected entities. A term is a word of three letters or more that
 stands within ``WINDOW`` characters of an entity. Over the corpus, with N differing texts,
 n(e) of them having entity e, n(t) having term t anywhere, and n(t, e) having both
 in one window, t reveals of e the share
@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank, materialize
+from .common import blank, materialize, positions
 
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed patterns. Guards and possessive loops keep each scan linear and free of recursion;
@@ -40,6 +40,11 @@ PATTERNS = {
     "card": r"[0-9](?:[ -]?[0-9]){13,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
+#: Beside the base kinds: a key or token, which is a run of 32 or more hexadecimal digits with a digit and a
+#: letter among them, or of 24 or more letters and digits with a digit and letters of both cases.
+SECRET = "secret"
+PATTERNS[SECRET] = r"(?<![0-9A-Za-z])(?:(?=[0-9]*+[A-Fa-f])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{32,}+|(?=[A-Za-z]*+[0-9])(?=[0-9A-Z]*+[a-z])(?=[0-9a-z]*+[A-Z])[0-9A-Za-z]{24,}+)(?![0-9A-Za-z])"
+ENTITIES = (*KINDS, SECRET)
 #: What a text must contain for a pattern to be tried.
 HINTS = {"email": "@", "ip": ".", "phone": "+"}
 TERM = r"(?<![\p{L}\p{M}])\p{L}[\p{L}\p{M}]{2,}+"
@@ -54,17 +59,14 @@ _SPAN = "array<struct<start:int,rank:int,stop:int,kind:string>>"
 
 def _located(text: Column, pattern: str, hits: Column) -> Column:
     """Where the matches ``hits`` of ``pattern`` stand: the gaps between them are what splitting leaves."""
-    empty = F.array().cast(_LOCATED)
     pairs = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)), hits, lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit")))
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        stop = start + F.char_length(x["hit"])
-        one = F.array(F.struct(start.alias("start"), stop.alias("stop"), x["hit"].alias("hit")))
-        return F.struct(stop.alias("at"), F.concat(acc["out"], one).alias("out"))
+    def place(at, x):
+        start = at + x["gap"]
+        return F.struct(start.alias("start"), (start + F.char_length(x["hit"])).alias("stop"), x["hit"].alias("hit"))
 
-    got = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.size(hits) > 0, got).otherwise(empty)
+    got = positions(pairs, lambda x: x["gap"] + F.char_length(x["hit"]), place, "struct<start:int,stop:int,hit:string>")
+    return F.when(F.size(hits) > 0, got).otherwise(F.array().cast(_LOCATED))
 
 
 def _digits(hit: Column) -> Column:
@@ -99,24 +101,27 @@ def _checked(located: Column, kind: str) -> Column:
 
 def _entity(kind: str, hit: Column) -> Column:
     """The value that is protected: spelling aside."""
-    return F.concat(F.lit(f"{kind} "), F.lower(hit) if kind in ("email", "ip") else _digits(hit))
+    return F.concat(F.lit(f"{kind} "), F.lower(hit) if kind in ("email", "ip", SECRET) else _digits(hit))
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``__text`` (null: empty) and, by kind, the valid base matches ``__email`` and so on."""
+    """``docs`` with ``__text`` (null: empty) and, by kind, the valid matches ``__email`` and so on."""
     out = docs.withColumn("__text", blank(text))
-    hits = {k: F.regexp_extract_all("__text", F.lit(PATTERNS[k]), F.lit(0)) for k in KINDS}
+    hits = {k: F.regexp_extract_all("__text", F.lit(PATTERNS[k]), F.lit(0)) for k in ENTITIES}
     none = F.array().cast("array<string>")
     out = out.withColumns({f"__{k}_hits": F.when(F.contains("__text", F.lit(HINTS[k])), h).otherwise(none) if k in HINTS else h for k, h in hits.items()})
-    located = {f"__{k}": _checked(_located(F.col("__text"), PATTERNS[k], F.col(f"__{k}_hits")), k) for k in KINDS}
-    return out.withColumns(located).drop(*(f"__{k}_hits" for k in KINDS))
+    located = {f"__{k}": _checked(_located(F.col("__text"), PATTERNS[k], F.col(f"__{k}_hits")), k) for k in ENTITIES}
+    return out.withColumns(located).drop(*(f"__{k}_hits" for k in ENTITIES))
 
 
-def _base(frame: DataFrame) -> Column:
-    def ranked(rank: int, kind: str) -> Column:
-        return F.transform(f"__{kind}", lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["stop"].alias("stop"), F.lit(kind).alias("kind")))
+def _ranked(*kinds: str) -> Column:
+    """The spans of the kinds, by start."""
 
-    return F.array_sort(F.concat(*(ranked(r, k) for r, k in enumerate(KINDS))).cast(_SPAN))
+    def ranked(kind: str) -> Column:
+        rank = F.lit(ENTITIES.index(kind))
+        return F.transform(f"__{kind}", lambda s: F.struct(s["start"].alias("start"), rank.alias("rank"), s["stop"].alias("stop"), F.lit(kind).alias("kind")))
+
+    return F.array_sort(F.concat(*map(ranked, kinds)).cast(_SPAN))
 
 
 def _windows() -> Column:
@@ -125,7 +130,7 @@ def _windows() -> Column:
     def around(kind: str) -> Column:
         return F.transform(f"__{kind}", lambda s: F.struct(_entity(kind, s["hit"]).alias("entity"), F.greatest(s["start"] - WINDOW, F.lit(0)).alias("a"), s["start"].alias("start"), s["stop"].alias("stop")))
 
-    return F.concat(*map(around, KINDS))
+    return F.concat(*map(around, ENTITIES))
 
 
 def contexts(found: DataFrame, key: list[str]) -> DataFrame:
@@ -162,24 +167,29 @@ def disclosure(docs: DataFrame, near: DataFrame, text: str = "text") -> DataFram
 
 
 def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """For each row: doc_id, ``text_key`` (a hash of its text), ``base`` and ``terms``, both arrays of spans.
+    """For each row: doc_id, ``text_key`` (a hash of its text), the number of each kind, ``base`` and ``terms``, both arrays of spans.
 
-    The spans of terms have kind ``term`` (generalised) or ``drop`` (removed) and lie outside the base ones.
+    ``terms`` has secrets, and the terms that reveal an entity, of kind ``term`` (generalised) or ``drop``
+    (removed), which lie outside the other spans.
     """
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     found = find(chosen).withColumn("text_key", F.xxhash64("__text"))
     key = ["doc_id", "text_key"]
-    slim = found.select(*key, _base(found).alias("base"), *(F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in KINDS), F.when(sum((F.size(f"__{k}") for k in KINDS), F.lit(0)) > 0, F.col("__text")).alias("__text"), *(f"__{k}" for k in KINDS))
+    numbers = [F.size(f"__{k}") for k in ENTITIES]
+    slim = found.select(
+        *key, _ranked(*KINDS).alias("base"), _ranked(SECRET).alias("secrets"), *(n.cast("long").alias(f"n_{k}") for k, n in zip(ENTITIES, numbers, strict=True)),
+        F.when(sum(numbers, F.lit(0)) > 0, F.col("__text")).alias("__text"), *(f"__{k}" for k in ENTITIES),
+    )
     slim = materialize(slim, "pii-base")
     near = materialize(contexts(slim.where(F.col("__text").isNotNull()), key), "pii-near")
     told = materialize(disclosure(chosen, near), "pii-told")
     kind = F.when(F.max("share") >= REMOVE, F.lit("drop")).otherwise(F.lit("term"))
     marked = near.join(told, ["entity", "term"]).groupBy(*key, "start", "stop").agg(kind.alias("kind"))
-    marked = marked.groupBy(*key).agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("rank"), "stop", "kind")).cast(_SPAN).alias("marked"))
+    marked = marked.groupBy(*key).agg(F.collect_list(F.struct("start", F.lit(len(ENTITIES)).alias("rank"), "stop", "kind")).cast(_SPAN).alias("marked"))
     marked = marked.withColumnsRenamed({k: f"m_{k}" for k in key})
-    both = slim.drop("__text", *(f"__{k}" for k in KINDS)).join(marked, F.col("doc_id").eqNullSafe(F.col("m_doc_id")) & (F.col("text_key") == F.col("m_text_key")), "left")
-    clear = F.filter(F.coalesce("marked", F.array().cast(_SPAN)), lambda t: ~F.exists("base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
-    return both.select(*key, *(f"n_{k}" for k in KINDS), "base", F.array_sort(clear).alias("terms"))
+    both = slim.drop("__text", *(f"__{k}" for k in ENTITIES)).join(marked, F.col("doc_id").eqNullSafe(F.col("m_doc_id")) & (F.col("text_key") == F.col("m_text_key")), "left")
+    clear = F.filter(F.coalesce("marked", F.array().cast(_SPAN)), lambda t: ~F.exists(F.concat("base", "secrets"), lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
+    return both.select(*key, *(f"n_{k}" for k in ENTITIES), "base", F.array_sort(F.concat("secrets", clear)).alias("terms"))
 
 
 def joined(found: Column) -> Column:

@@ -32,15 +32,27 @@ def base(text):
     return [(m.start(), r, m.end(), k) for r, k in enumerate(pii.KINDS) for m in PLAIN[k].finditer(text or "") if valid(k, m.group())]
 
 
+def secrets(text):
+    """Runs of letters and digits that a key or token would be, judged one by one."""
+    out = []
+    for m in re.finditer(r"[0-9A-Za-z]+", text or ""):
+        hit = m.group()
+        has = lambda pattern: re.search(pattern, hit) is not None  # noqa: E731, B023
+        if re.fullmatch("[0-9A-Fa-f]{32,}", hit) and has("[0-9]") and has("[A-Fa-f]") or len(hit) >= 24 and has("[0-9]") and has("[a-z]") and has("[A-Z]"):
+            out.append((m.start(), 4, m.end(), "secret"))
+    return out
+
+
 def brute(texts):
     """Every span of every text, by counting over Python objects."""
     term = re.compile(r"[^\W\d_]{3,}")
-    near, per = [], []
+    near, per, hidden = [], [], []
     for i, t in enumerate(texts):
         per.append(sorted(base(t)))
-        for start, _, stop, kind in per[-1]:
+        hidden.append(secrets(t))
+        for start, _, stop, kind in per[-1] + hidden[-1]:
             hit = t[start:stop]
-            entity = kind + " " + (hit.lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", hit))
+            entity = kind + " " + (hit.lower() if kind in ("email", "ip", "secret") else re.sub("[^0-9]", "", hit))
             a = max(0, start - pii.WINDOW)
             b = min(len(t), stop + pii.WINDOW)
             for m in term.finditer(t):
@@ -64,8 +76,8 @@ def brute(texts):
                 marked.setdefault(i, {}).setdefault((start, stop), []).append(share)
     out = []
     for i, spans in enumerate(per):
-        more = [(a, 4, b, "drop" if max(s) >= pii.REMOVE else "term") for (a, b), s in marked.get(i, {}).items() if not any(x < b and a < y for x, _, y, _ in spans)]
-        out.append((spans, sorted(more)))
+        more = [(a, 5, b, "drop" if max(s) >= pii.REMOVE else "term") for (a, b), s in marked.get(i, {}).items() if not any(x < b and a < y for x, _, y, _ in spans + hidden[i])]
+        out.append((spans, sorted(more + hidden[i])))
     return out
 
 
@@ -79,6 +91,8 @@ def corpus():
         fill = lambda: " ".join(rng.choices(words, k=6))
         out.append(f"{fill()} {["Zorbulon", "quixnar", "velmora"][k % 3]} wrote from secret.{k % 3}@mail.example.com {fill()} {k}")
         out.append(f"{fill()} and wrote {k}")
+    for k in range(12):
+        out.append(f"{fill()} api_key = \"{['0123456789abcdef' * 2, 'A1b2' * 8, '00ff' * 12, 'deadbeef' * 5, '1' * 40, 'f' * 40][k % 6]}\" Vexilar said {fill()} {k}")
     return out + [out[-2], out[-2]]
 
 
@@ -111,6 +125,8 @@ def test_copies_count_once_on_both_sides_of_the_share(spark):
 
 
 def test_sanitise_keeps_rows_and_columns(spark):
+    key = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
+    assert pii.sanitise(spark.createDataFrame([(1, f'token="{key}" end {key}')], "doc_id long, text string")).first().text == 'token="[SECRET]" end [SECRET]'
     rows = [(1, "mail a@b.co or 10.0.0.1 now", "k"), (2, None, None), (2, None, None), (None, "", "k"), (3, "plain", "k"), (1, "mail a@b.co or 10.0.0.1 now", "k")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     out = pii.sanitise(docs)
@@ -130,5 +146,6 @@ def test_query(spark):
         spans = sorted(base(texts[r.doc_id]))
         text = ",".join(f"{k}:{a}:{b}" for a, _, b, k in spans)
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert r.n_secret == len(secrets(texts[r.doc_id])) and r.n_spans == len([s for s in r.spans.split(",") if s])
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[3] == k for s in spans) for k in pii.KINDS]
         assert set(text.split(",")) - {""} <= set(r.spans.split(","))
