@@ -34,8 +34,8 @@ def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation in a pair with its neighbour, as prompt and masked completions."""
-    done = preference.format_pairs(preference.neighbours(_table(spark, sf_dir, "conversations")))
+    """Every conversation as chosen against another answer to its history, as prompt and masked completions."""
+    done = preference.contrasts(_table(spark, sf_dir, "conversations"))
     masks = {m: preference.mask_text(F.col(m)) for m in ("chosen_mask", "rejected_mask")}
     return done.withColumns(masks)
 
@@ -53,8 +53,9 @@ def op6_pigeonhole_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of every document."""
     docs = _table(spark, sf_dir, "documents")
-    learned = ngram_llr.weights(docs, ngram_llr.trusted(_table(spark, sf_dir, "labels")))
-    return ngram_llr.judge(docs, learned)
+    labels = ngram_llr.training(_table(spark, sf_dir, "labels"))
+    learned = ngram_llr.weights(docs, ngram_llr.trusted(labels))
+    return ngram_llr.judge(docs, learned, threshold=ngram_llr.threshold(docs, learned, labels))
 
 
 def op8_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,11 +71,11 @@ def op9_rff_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans of personal data and of the terms that reveal it."""
+    """Spans of personal data, of secrets, and of the terms that reveal them (``term`` is generalised, ``drop`` removed)."""
     found = pii.spans(_table(spark, sf_dir, "documents"))
-    terms = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), F.lit("term").alias("kind")))
-    every = F.array_sort(F.concat("base", terms))
-    return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(every).alias("spans"))
+    every = F.array_sort(F.concat("base", "terms"))
+    numbers = [*(f"n_{k}" for k in pii.KINDS), F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(every).alias("spans")]
+    return found.select("doc_id", *numbers, f"n_{pii.SECRET}", F.size(every).cast("long").alias("n_spans"))
 
 
 QUERIES = {
