@@ -83,9 +83,10 @@ def test_rows_without_ids(spark):
 def test_boundary_by_cost_and_lists_that_grow_with_their_rows(spark):
     """Small sets list pairs where that is no dearer; a group of near copies costs rows in proportion to its size, not its square."""
     shape = "doc long, n int, shared array<long>, prefix array<long>, first int"
-    tiny = spark.createDataFrame([(k, 4, [1, 2, 3, k], [1, 2], 1) for k in range(9, 29)] + [(99, 400, [1, 7], [1, 7], 2)], shape)
-    entries = tiny.selectExpr("doc", "n", "first", "posexplode(prefix) as (pos, h)")
-    assert jaccard._boundary(entries, tiny) == 4
+    small = [(k, 4, [1, 2, 3, k], [1, 2], 1) for k in range(9, 29)]
+    for large, want in ((None, 4), ([7, 8, 10, 11, 12], 4), ([1, 7, 8, 10, 11], 0)):  # a list with a large set is scanned whatever the small ones do
+        tiny = spark.createDataFrame(small + ([(d, 400, large, large, 4) for d in (98, 99)] if large else []), shape)
+        assert jaccard._boundary(tiny.selectExpr("doc", "n", "first", "posexplode(prefix) as (pos, h)"), tiny) == want
     rng = random.Random(6)
     base = [f"w{i}" for i in range(48)]
     kept = []
