@@ -63,16 +63,21 @@ def exit_code(summaries: DataFrame) -> DataFrame:
     return summaries.agg(F.when(bad > 0, F.lit(1)).when(open_ > 0, F.lit(2)).otherwise(F.lit(0)).alias("exit_code"))
 
 
-def histogram(df: DataFrame, stats: DataFrame, expected: str = "compat", key: str = KEY, seq: str = SEQ) -> DataFrame:
+def histogram(df: DataFrame, stats: DataFrame | None = None, expected: str = "compat", key: str = KEY, seq: str = SEQ) -> DataFrame:
     """Of every key with internal gaps, for ten equal parts of its range: sequences there, expected and missing.
 
     ``compat`` expects one more in the first ``total % 10`` parts, as reports have it;
-    ``exact`` expects what the assignment of sequences to parts gives. All keys in one pass.
+    ``exact`` expects what the assignment of sequences to parts gives. All keys in one pass: without
+    ``stats`` they come from the same distinct pairs that are counted, by one scan and one exchange of those.
     """
+    pairs = df.groupBy(key, F.col(seq).cast("long").alias("__seq")).agg(F.count("*").alias("n"))
+    if stats is None:
+        stats = pairs.groupBy(key).agg(F.count("*").alias("n_unique"), F.min("__seq").alias("seq_min"), F.max("__seq").alias("seq_max"))
     gapped = stats.where((F.col("n_unique") > 0) & (F.col("seq_max") - F.col("seq_min") + 1 > F.col("n_unique")))
     gapped = gapped.select(key, F.col("seq_min").alias("low"), (F.col("seq_max") - F.col("seq_min") + 1).alias("total"))
-    own = df.select(key, F.col(seq).cast("long").alias("__seq")).where("__seq is not null").distinct().join(gapped, key)
-    part = F.least(F.greatest(F.expr(f"(__seq - low) * {BUCKETS} div total"), F.lit(0)), F.lit(BUCKETS - 1)).cast("int")
+    own = pairs.select(key, "__seq").join(gapped, key)
+    # A null sequence is in no part; a filter on it would go below the grouping and part the two uses of it.
+    part = F.when(F.col("__seq").isNull(), F.lit(-1)).otherwise(F.least(F.greatest(F.expr(f"(__seq - low) * {BUCKETS} div total"), F.lit(0)), F.lit(BUCKETS - 1))).cast("int")
     counts = own.select(key, part.alias("bucket")).groupBy(key, "bucket").agg(F.count("*").alias("found"))
     spine = gapped.select(key, "total", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))).alias("bucket"))
     if expected == "compat":
@@ -102,6 +107,11 @@ class Result:
 
 def validate(df: DataFrame, targets: DataFrame | None = None) -> tuple[DataFrame, Result]:
     """The detail of every key, and the totals."""
-    details = detail(st.by_key(df, KEY, SEQ, TIME), targets)
+    return validate_stats(st.by_key(df, KEY, SEQ, TIME), targets)
+
+
+def validate_stats(stats: DataFrame, targets: DataFrame | None = None) -> tuple[DataFrame, Result]:
+    """As ``validate``, from the statistics of each key."""
+    details = detail(stats, targets)
     row = summary(details).first()
     return details, Result(row.complete, row.incomplete, row.unknown, row.n_rows)

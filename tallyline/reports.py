@@ -5,12 +5,12 @@ from __future__ import annotations
 import logging
 import os
 from collections.abc import Iterable, Mapping
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators import stats, validate
+from tallyline.sources.files import Files
 
 log = logging.getLogger("tallyline")
 
@@ -24,26 +24,30 @@ def setup_logging(level: int = logging.INFO) -> None:
     log.setLevel(level)
 
 
-def size_on_disk(path: str | os.PathLike) -> int:
-    path = Path(path)
-    return path.stat().st_size if path.is_file() else sum(p.stat().st_size for p in path.rglob("*") if p.is_file())
-
-
 def validation(df: DataFrame, targets: DataFrame | None, path: str | os.PathLike, shown: int = 50) -> tuple[list[str], validate.Result]:
     """The lines of a report: fields, keys that are not complete, their gaps, totals; and the result.
 
-    Only the ``shown`` first keys by name are listed; every key is counted.
+    Only the ``shown`` first keys by name are listed; every key is counted. Records are read once for the
+    statistics, which are kept for all that follows, and once more for the gaps, if there are any.
     """
-    details, result = validate.validate(df, targets)
-    totals = stats.totals(stats.by_key(df)).first()
+    by = stats.by_key(df).persist()
+    try:
+        return _validation(df, by, targets, path, shown)
+    finally:
+        by.unpersist()
+
+
+def _validation(df: DataFrame, by: DataFrame, targets: DataFrame | None, path: str | os.PathLike, shown: int) -> tuple[list[str], validate.Result]:
+    details, result = validate.validate_stats(by, targets)
+    totals = stats.totals(by).first()
     lines = ["fields: " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)]
     for r in details.where(F.col("status") != validate.COMPLETE).orderBy("instrument_name").limit(shown).collect():
         lines.append(f"{r.instrument_name}: {r.status}, {r.n_rows:,} rows, {r.reasons}")
     if result.incomplete:
-        gaps = validate.histogram(df, stats.by_key(df)).groupBy("instrument_name").agg(F.sort_array(F.collect_list(F.struct("bucket", "missing"))).alias("parts"))
+        gaps = validate.histogram(df, by).groupBy("instrument_name").agg(F.sort_array(F.collect_list(F.struct("bucket", "missing"))).alias("parts"))
         for r in gaps.orderBy("instrument_name").limit(shown).collect():
             lines.append(f"{r.instrument_name}: missing by tenth " + " ".join(str(p.missing) for p in r.parts))
-    lines.append(f"{result.n_rows:,} rows, {totals.first_day} to {totals.last_day} UTC, {size_on_disk(path):,} bytes")
+    lines.append(f"{result.n_rows:,} rows, {totals.first_day} to {totals.last_day} UTC, {Files(df.sparkSession).size(path):,} bytes")
     lines.append(f"{result.complete:,} complete, {result.incomplete:,} incomplete, {result.unknown:,} unknown")
     return lines, result
 

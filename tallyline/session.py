@@ -22,6 +22,7 @@ def build_session(app: str = "tallyline", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.showConsoleProgress": "false",
     } | conf
     return builder.config(map=settings).getOrCreate()

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import json
 import random
+import threading
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
@@ -72,18 +74,21 @@ def wait_seconds(error: Exception, attempt: int, draw: Callable[[float, float],
 
 @dataclass
 class TokenBucket:
-    """At most ``rate`` requests a second from this process; readers divide a global rate by their number."""
+    """At most ``rate`` requests a second, whatever threads and ranges of this process ask; readers divide a global rate by their number."""
 
     rate: float
     clock: Callable[[], float] = time.monotonic
     sleep: Callable[[float], None] = time.sleep
     _next: float = field(default=0.0, init=False)
+    _lock: threading.Lock = field(default_factory=threading.Lock, init=False, repr=False)
 
     def take(self) -> None:
-        now = self.clock()
-        if now < self._next:
-            self.sleep(self._next - now)
-        self._next = max(now, self._next) + 1.0 / self.rate
+        with self._lock:
+            now = self.clock()
+            wait = self._next - now
+            self._next = max(now, self._next) + 1.0 / self.rate
+        if wait > 0:
+            self.sleep(wait)
 
 
 @dataclass
@@ -93,14 +98,20 @@ class HttpTransport:
     url: str
     proxy: str | None = None
     timeout: float = 60.0
+    _opener: Any = field(default=None, init=False, repr=False, compare=False)
+
+    def __getstate__(self) -> dict[str, Any]:
+        return self.__dict__ | {"_opener": None}
 
     def request(self, method: str, params: dict[str, Any]) -> dict[str, Any]:
         from urllib.parse import urlencode
 
-        handlers = [urllib.request.ProxyHandler({"http": self.proxy, "https": self.proxy})] if self.proxy else []
+        if self._opener is None:
+            handlers = [urllib.request.ProxyHandler({"http": self.proxy, "https": self.proxy})] if self.proxy else []
+            self._opener = urllib.request.build_opener(*handlers)
         query = urlencode({k: str(v).lower() if isinstance(v, bool) else v for k, v in params.items()})
         try:
-            with urllib.request.build_opener(*handlers).open(f"{self.url}/{method}?{query}", timeout=self.timeout) as response:
+            with self._opener.open(f"{self.url}/{method}?{query}", timeout=self.timeout) as response:
                 return json.load(response)
         except urllib.error.HTTPError as error:
             raise StatusError(error.code, error.headers.get("Retry-After")) from error
@@ -139,6 +150,11 @@ class History:
         except Exception:
             return None
 
+    def last_seqs(self, instruments: list[str], workers: int = 1) -> list[tuple[str, int | None]]:
+        """The bounds of all ``instruments``, asked for by so many threads; the bucket holds them to one rate."""
+        with ThreadPoolExecutor(max(1, workers)) as pool:
+            return list(zip(instruments, pool.map(self.last_seq, instruments), strict=True))
+
     def chunk(self, instrument: str, start: int, end: int) -> tuple[list[dict[str, Any]], bool]:
         got = self._ask("get_last_trades_by_instrument", {"instrument_name": instrument, "start_seq": start, "end_seq": end, "count": self.page})
         return got["trades"], bool(got["has_more"])
@@ -164,10 +180,14 @@ class History:
 
 
 @dataclass
-class Range(InputPartition):
-    instrument: str
-    start: int
-    end: int
+class Ranges(InputPartition):
+    """What one reader fetches, one range after another."""
+
+    ranges: list[tuple[str, int, int]]
+
+
+#: With each record its range; of a range that was not proved, one row with the reason in place of records.
+RANGED = T.StructType([*RECORD.fields, T.StructField("range_instrument", T.StringType()), T.StructField("range_start", T.LongType()), T.StructField("range_end", T.LongType()), T.StructField("error", T.StringType())])
 
 
 def _row(record: dict[str, Any], instrument: str, schema: T.StructType) -> tuple:
@@ -178,9 +198,12 @@ def _row(record: dict[str, Any], instrument: str, schema: T.StructType) -> tuple
 
 class HistorySource(DataSource):
     """``format("history")``: options ``ranges`` (JSON list of [instrument, start, end]), ``transport``
-    (name of a registered factory), ``chunk_size``, ``max_rps``, ``readers`` and ``on_error`` (fail or skip).
+    (name of a registered factory), ``chunk_size``, ``max_rps``, ``readers`` and ``on_error`` (fail or report).
 
-    Skipped ranges leave no row; a ledger that compares counts with the plan keeps them pending.
+    There are at most ``readers`` partitions, each with its share of ``max_rps``, and one bucket in
+    each process, so the rate holds over all ranges. With ``report`` the columns are those of ``RANGED``:
+    a range that has holes, or fails in transport after all attempts, is one row with the reason. Any other
+    error (of the source, a schema or a program) fails the query.
     """
 
     @classmethod
@@ -188,7 +211,7 @@ class HistorySource(DataSource):
         return "history"
 
     def schema(self) -> T.StructType:
-        return RECORD
+        return RANGED if self.options.get("on_error") == "report" else RECORD
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return HistoryReader(dict(self.options), schema)
@@ -212,28 +235,47 @@ def _transport(options: dict[str, str]) -> Transport:
     return getattr(import_module(module), factory)(options)
 
 
+_BUCKETS: dict[tuple, TokenBucket] = {}
+
+
+def bucket_of(options: dict[str, str]) -> TokenBucket:
+    """The one bucket of this process for a source and rate."""
+    key = tuple(options.get(k) for k in ("transport", "url", "max_rps", "readers"))
+    return _BUCKETS.setdefault(key, TokenBucket(float(options.get("max_rps", 20)) / max(1, int(options.get("readers", 1)))))
+
+
 def _history(options: dict[str, str]) -> History:
-    rate = float(options.get("max_rps", 20)) / max(1, int(options.get("readers", 1)))
     attempts = int(options.get("attempts", 10))
-    return History(_transport(options), attempts=attempts, page=int(options.get("chunk_size", 10_000)), bucket=TokenBucket(rate))
+    return History(_transport(options), attempts=attempts, page=int(options.get("chunk_size", 10_000)), bucket=bucket_of(options))
+
+
+def driver_history(options: dict[str, str]) -> History:
+    """The history that ``options`` name, for the questions of a plan."""
+    return _history(options)
 
 
 class HistoryReader(DataSourceReader):
     def __init__(self, options: dict[str, str], schema: T.StructType):
         self.options, self.schema = options, schema
 
-    def partitions(self) -> list[Range]:
-        return [Range(i, int(a), int(b)) for i, a, b in json.loads(self.options["ranges"])]
+    def partitions(self) -> list[Ranges]:
+        ranges = [(str(i), int(a), int(b)) for i, a, b in json.loads(self.options["ranges"])]
+        n = max(1, min(len(ranges), int(self.options.get("readers", 1))))
+        return [Ranges(ranges[k::n]) for k in range(n)]
 
-    def read(self, partition: Range) -> Iterator[tuple]:
-        try:
-            rows = _history(self.options).whole(partition.instrument, partition.start, partition.end)
-        except Exception:
-            if self.options.get("on_error") != "skip":
-                raise
-            return
-        for record in rows:
-            yield _row(record, partition.instrument, self.schema)
+    def read(self, partition: Ranges) -> Iterator[tuple]:
+        history, reports = _history(self.options), self.options.get("on_error") == "report"
+        for instrument, start, end in partition.ranges:
+            try:
+                rows = history.whole(instrument, start, end)
+            except Exception as error:
+                if not reports or not (isinstance(error, IncompleteRange) or may_retry(error)):
+                    raise
+                yield (*[None] * len(RECORD), instrument, start, end, f"{type(error).__name__}: {error}")
+                continue
+            own = (instrument, start, end, None) if reports else ()
+            for record in rows:
+                yield (*_row(record, instrument, RECORD if reports else self.schema), *own)
 
 
 class HistoryStream(SimpleDataSourceStreamReader):

@@ -3,28 +3,29 @@
 from __future__ import annotations
 
 import os
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.schema import RECORD
+from tallyline.sources.files import Entry, Files
 
-PATTERN = "*.jsonl"
+#: Files that hand or other tools put there, and those that Spark appends.
+PATTERN = "{*.jsonl,part-*.json}"
 
 
-def checked_files(folder: str | os.PathLike) -> list[Path]:
-    """The raw files of a local folder by name; the three ways to have none raise."""
-    path = Path(folder)
-    if not path.exists():
-        raise FileNotFoundError(f"no raw folder at {path}")
-    if not path.is_dir():
-        raise NotADirectoryError(f"{path} is not a folder")
-    files = sorted(path.glob(PATTERN))
-    if not files:
-        raise ValueError(f"no {PATTERN} files in {path}")
-    return files
+def checked_files(spark: SparkSession, folder: str | os.PathLike) -> list[Entry]:
+    """The raw files of a folder by name; the three ways to have none raise."""
+    files = Files(spark)
+    if not files.exists(folder):
+        raise FileNotFoundError(f"no raw folder at {folder}")
+    if not files.is_dir(folder):
+        raise NotADirectoryError(f"{folder} is not a folder")
+    found = files.matching(folder, PATTERN)
+    if not found:
+        raise ValueError(f"no {PATTERN} files in {folder}")
+    return found
 
 
 def read(spark: SparkSession, folder: str | os.PathLike, schema: T.StructType = RECORD) -> DataFrame:
@@ -33,7 +34,7 @@ def read(spark: SparkSession, folder: str | os.PathLike, schema: T.StructType =
 
 
 def append(df: DataFrame, folder: str | os.PathLike) -> None:
-    """Append records as JSON lines; files already there are not touched."""
+    """Append records as JSON lines under names that Spark writes; files already there are not touched, and none shows before all are whole."""
     df.write.mode("append").option("ignoreNullFields", "false").format("json").save(str(folder))
 
 

@@ -105,7 +105,7 @@ def test_snapshots_and_sqlite(spark, tmp_path):
     assert store.read("option_meta").first().last_no == 3 and store.read("future_meta").count() == 1
     for n in range(4):
         store.commit(option_meta=rows.selectExpr("instrument", f"{n}L as last_no", "is_expired", "is_completed"))
-    assert store.read("option_meta").first().last_no == 3 and len([p for p in Path(tmp_path / "ledger").iterdir() if p.is_dir()]) == 3
+    assert store.read("option_meta").first().last_no == 3 and len([p for p in Path(tmp_path / "ledger").iterdir() if p.is_dir()]) == 4  # three versions of one table, one of the other
     checkpoint.write_sqlite(rows, tmp_path / "x.db", "option_meta")
     assert tuple(checkpoint.read_sqlite(spark, tmp_path / "x.db", "option_meta").first()) == ("A", 3, 1, 1)
     with pytest.raises(FileNotFoundError):
@@ -130,6 +130,14 @@ def test_markdown_and_matrix():
     assert reports.markdown([]) == "" and [c["name"] for c in reports.matrix(2)] == ["partitions 1", "partitions 2", "no dedup", "lz4"]
 
 
+def test_benchmark_files(spark, tmp_path):
+    assert cli.main(["bench", "--quick", "--out", str(tmp_path), "--cores", "2"], spark) == 0
+    got = json.loads((tmp_path / "results.json").read_text())
+    assert [c["name"] for c in got["cases"]] == ["partitions 1", "partitions 2", "no dedup", "lz4"] and all(c["seconds"] > 0 and c["peak_mb"] > 50 for c in got["cases"])
+    assert {c["rows_out"] for c in got["cases"] if c["name"] != "no dedup"} == {50_000} and "| lz4 |" in (tmp_path / "BENCHMARK.md").read_text()
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["BENCHMARK.md", "results.json"]
+
+
 def test_settings():
     assert Settings.from_env({}).currency == Settings.from_env({"CURRENCY": "  "}).currency == "BTC"
     given = Settings.from_env({"CURRENCY": " ETH ", "https_proxy": "c", "HTTPS_PROXY": " b ", "http_proxy": "d"})
@@ -239,6 +247,79 @@ def test_ingest_futures_to_a_verdict(spark, tmp_path):
     assert report.rows_out == 48 and report.rows_in == 52
 
 
+def test_one_rate_over_all_ranges_of_a_process():
+    """Every range of a reader asks through one bucket, on a clock that only waiting moves."""
+    from tallyline.sources import history as h
+
+    options = options_for(sizes={"A": 100}) | {"max_rps": "20", "readers": "4", "on_error": "fail", "ranges": json.dumps([["A", k * 10 + 1, k * 10 + 10] for k in range(10)])}
+    now = [100.0]
+    bucket = h.bucket_of(options)
+    bucket.clock, bucket.sleep = lambda: now[0], lambda s: now.__setitem__(0, now[0] + s)
+    reader = h.HistoryReader(options, h.RECORD)
+    parts = reader.partitions()
+    assert len(parts) == 4 and sorted(r for p in parts for r in p.ranges) == [("A", k * 10 + 1, k * 10 + 10) for k in range(10)]
+    assert sum(1 for p in parts for _ in reader.read(p)) == 100
+    assert now[0] - 100.0 == pytest.approx(9 / 5) and h.bucket_of(dict(options)) is bucket
+
+
+def test_failures_carry_their_cause_and_others_are_raised():
+    from tallyline.sources import history as h
+
+    options = options_for(sizes={"A": 30, "B": None}, holes=[15]) | {"on_error": "report", "ranges": json.dumps([["A", 11, 20], ["A", 1, 5], ["B", 1, 3]])}
+    reader = h.HistoryReader(options, h.RANGED)
+    rows = [r for p in reader.partitions() for r in reader.read(p)]
+    errors = {r[-4:-1]: r[-1] for r in rows if r[-1]}
+    assert set(errors) == {("A", 11, 20), ("B", 1, 3)} and errors["A", 11, 20].startswith("IncompleteRange") and errors["B", 1, 3] == "StatusError: HTTP status 500"
+    assert [r[0] for r in rows if not r[-1]].__len__() == 5
+    with pytest.raises(KeyError):
+        [*reader.read(h.Ranges([("C", 1, 2)]))]
+
+
+def test_bounds_are_asked_for_side_by_side():
+    sizes = {f"I{k}": k for k in range(50)} | {"X": None}
+    assert dict(quiet(Fake(sizes), attempts=1).last_seqs([*sizes], 8)) == sizes
+
+
+def test_ledger_deltas(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(checkpoint, "MOST_DELTAS", 3)
+    store = checkpoint.SnapshotStore(spark, tmp_path / "l")
+    chunk = lambda *rows: spark.createDataFrame(rows, checkpoint.LEDGERS["future_chunk"])
+    store.append(future_chunk=chunk(("A", 1, 0, None, 0), ("A", 11, 0, None, 0)))
+    want = {("A", 1): 0, ("A", 11): 0}
+    for n in range(8):
+        store.append(future_chunk=chunk(("A", 1 + 10 * (n % 3), n + 1, 0, 0)))
+        want["A", 1 + 10 * (n % 3)] = n + 1
+        assert {(r.instrument, r.chunk_no): r["count"] for r in store.read("future_chunk").collect()} == want
+    assert all(len(v["future_chunk"]) <= 3 for v in store._versions())
+
+
+@pytest.mark.parametrize(("spec", "code"), [({"sizes": {"A": 25}, "expired": ["A"]}, 0), ({"sizes": {"A": 25}, "expired": ["A"], "holes": [15]}, 1), ({"sizes": {"A": 25}}, 2)])
+def test_shell_from_ingest_to_verdict(spark, tmp_path, spec, code, capsys):
+    """Ingest, compact and validate over one base folder, by the ledger that the ingest wrote."""
+    base = ["--type", "option", "--base-dir", str(tmp_path)]
+    options = [f"--option={k}={v}" for k, v in options_for(**spec).items() if k != "transport"]
+    fetch = ["ingest", *base, "--transport", "tests.test_sources:fake_options", "--readers", "2", "--batch", "2", *options]
+    if code == 1:
+        with pytest.raises(ingest.FailedRanges, match="IncompleteRange"):
+            cli.main(fetch, spark)
+        # The ledger says how far it is proved; a final bound beyond what is there is a hole.
+        store = checkpoint.SnapshotStore(spark, tmp_path / "option.ledger")
+        store.commit(option_meta=store.read("option_meta").selectExpr("instrument", "25L as last_no", "is_expired", "1 as is_completed"))
+    else:
+        assert cli.main(fetch, spark) == 0 and "3 ranges landed" in capsys.readouterr().out
+    assert cli.main(["compact", *base], spark) == 0
+    assert cli.main(["validate", *base], spark) == code
+
+
+def test_progress_and_stop(spark, tmp_path):
+    spec, seen = {"sizes": {"A": 50}, "expired": ["A"]}, []
+    settings, given = settings_for(tmp_path), {"batch": 2, "on_batch": seen.append, "stop": lambda: len(seen) == 2}
+    assert ingest.run(spark, "option", settings, quiet(fake_options({"spec": json.dumps(spec)}), page=10), options_for(**spec), **given) == 4
+    assert [(p.planned, p.landed, p.failed, p.records) for p in seen] == [(5, 2, 0, 20), (5, 4, 0, 40)] and "2 of 5 ranges" in str(seen[0])
+    assert tuple(checkpoint.SnapshotStore(spark, tmp_path / "option.ledger").read("option_meta").first()) == ("A", 40, 1, 0)
+    assert not [p for p in (tmp_path / "option").iterdir() if p.name.startswith(".batch")]
+
+
 def test_failed_ranges_stay_pending(spark, tmp_path):
     spec = {"sizes": {"A": 30}, "expired": ["A"], "holes": [15]}
     settings = settings_for(tmp_path)
