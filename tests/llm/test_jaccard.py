@@ -68,6 +68,8 @@ def test_rounds_sizes_nulls_and_repeated_ids(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows)
     assert sorted(map(tuple, jaccard.join(docs).collect()), key=str) == want
+    monkeypatch.setattr(graph, "FEW", 0)
+    assert sorted(map(tuple, jaccard.join(docs).collect()), key=str) == want
     monkeypatch.setattr(jaccard, "ROUNDS", 0)
     monkeypatch.setattr(jaccard, "_boundary", lambda entries, sets: 30)
     assert sorted(map(tuple, jaccard.join(docs).collect()), key=str) == want
@@ -104,7 +106,9 @@ def test_boundary_by_cost_and_lists_that_grow_with_their_rows(spark):
     assert kept[2] <= 5 * kept[1] + 200
 
 
-def test_components_of_paths_and_stars(spark):
+@pytest.mark.parametrize("few", [0, 1 << 14])
+def test_components_of_paths_and_stars(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW", few)
     rng = random.Random(4)
     path = [(i, i + 1) for i in range(40)]
     star = [(100, i) for i in range(101, 160)]
