@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import bpe, decontaminate, jaccard, pii, rff
-from tallyline.llm.common import materialize
+from tallyline.llm.common import discard, scratch, shared_path
 
 #: Documents that score lower are rejected.
 LEAST_QUALITY = 0.3
@@ -66,7 +66,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; what a stage wrote for itself goes when its rows are written, and those when the next has read them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        last, path = docs, shared_path(spark, f"stage-{name}")
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        docs._written_to = path
+        discard(last)
     return docs

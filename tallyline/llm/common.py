@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import math
 import tempfile
@@ -14,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.sources.files import Files
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
@@ -29,15 +32,38 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_SCRATCH[-1] if _SCRATCH else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written to the shared folder in here goes at the end; so must what reads it have run."""
+    path = shared_path(spark, "scratch")
+    _SCRATCH.append(path)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(path)
+        Files(spark).delete(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for ``df``, which nothing reads any more; other frames have nothing to delete."""
+    if path := getattr(df, "_written_to", None):
+        Files(df.sparkSession).delete(path)
 
 
 def input_bytes(df: DataFrame) -> int:

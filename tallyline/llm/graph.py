@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 #: Edges up to which one task joins them, within a MB of memory; beyond, rounds of exchanges do.
@@ -49,7 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = star.groupBy("a").agg(F.min("b").alias("m"))
         near = star.join(least, "a")
         small = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        now = materialize(small.where("a <> b").distinct(), "edges")
+        last, now = now, materialize(small.where("a <> b").distinct(), "edges")
+        discard(last)
         row = now.agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40))).alias("h")).first()
         if (row.n, row.h) == state:
             break

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank, deal, materialize, partitions_for, release
+from .common import blank, deal, discard, materialize, partitions_for, release
 from .graph import components
 from .shingles import mix, shingle_sets
 
@@ -225,21 +225,23 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     labels = sets.select(F.col("doc").alias("node"), F.col("doc").alias("component")).distinct()
     links = spark.createDataFrame([], "a long, b long")
     done = spark.createDataFrame([], "a long, b long")
-    active = lists
+    active = held = lists
     for turn in range(ROUNDS + 1):
-        marked = active.join(labels, F.col("doc") == F.col("node")).drop("node")
+        marked = active.drop("component").join(labels, F.col("doc") == F.col("node")).drop("node")
         if turn:  # at first every document is its own component, and every list open
-            marked = materialize(marked, "jaccard-marked")
+            held = marked = materialize(marked, "jaccard-marked")
             open_ = marked.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("h")
             marked = marked.join(open_, "h", "left_semi")
-        active = materialize(marked, "jaccard-open")
+        last, active = active, materialize(marked, "jaccard-open")
+        discard(held)
+        if last is not held:
+            discard(last)
         if active.isEmpty():
             break
         pairs = _leaders(active, turn) if turn < ROUNDS else _across(active, sets)
         pairs = materialize(pairs.distinct().join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
         found = materialize(_verified(pairs, sets), "jaccard-links")
         done, links = done.unionByName(pairs), links.unionByName(found)
-        active = active.drop("component")
         if turn < ROUNDS:
             if found.isEmpty():
                 continue
