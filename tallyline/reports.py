@@ -6,10 +6,11 @@ import logging
 import os
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators import stats, validate
+from tallyline.sources import checkpoint
 from tallyline.sources.files import Files
 
 log = logging.getLogger("tallyline")
@@ -52,6 +53,19 @@ def _validation(df: DataFrame, by: DataFrame, targets: DataFrame | None, path: s
     return lines, result
 
 
+def validate_parquet(spark: SparkSession, path: str | os.PathLike, *, checkpoint_path: str | os.PathLike | None = None, data_type: str | None = None) -> tuple[DataFrame, validate.Result]:
+    """The verdicts over a compacted dataset, against a ledger if one is named.
+
+    ``checkpoint_path`` and ``data_type`` come together or not at all; a dataset or ledger that is not there raises.
+    """
+    if (checkpoint_path is None) != (data_type is None):
+        raise ValueError("checkpoint_path and data_type must be given together")
+    if not Files(spark).exists(path):
+        raise FileNotFoundError(f"no dataset at {path}")
+    bounds = None if checkpoint_path is None else checkpoint.targets(spark, checkpoint_path, data_type)
+    return validate.validate(spark.read.parquet(os.fspath(path)), bounds)
+
+
 def matrix(cores: int) -> list[dict[str, object]]:
     """The cases of a compaction benchmark: partitions up to the cores, deduplication off, the fast codec."""
     base = {"partitions": min(4, cores), "deduplicate": True, "fast": False}

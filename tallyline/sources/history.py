@@ -8,16 +8,16 @@ flag proves anything.
 
 from __future__ import annotations
 
+import http.client
 import json
 import random
 import threading
 import time
-import urllib.error
-import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any, Protocol
+from urllib.parse import urlencode, urlsplit, urlunsplit
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 from pyspark.sql import types as T
@@ -93,28 +93,52 @@ class TokenBucket:
 
 @dataclass
 class HttpTransport:
-    """JSON over HTTP GET with the standard library."""
+    """JSON over HTTP GET with the standard library: one connection a thread, kept open between requests."""
 
     url: str
     proxy: str | None = None
     timeout: float = 60.0
-    _opener: Any = field(default=None, init=False, repr=False, compare=False)
-
-    def __getstate__(self) -> dict[str, Any]:
-        return self.__dict__ | {"_opener": None}
+    connect_timeout: float = 10.0
+    _held: threading.local = field(default_factory=threading.local, init=False, repr=False, compare=False)
+
+    def __reduce__(self):
+        return type(self), (self.url, self.proxy, self.timeout, self.connect_timeout)
+
+    def _connection(self) -> http.client.HTTPConnection:
+        """This thread's connection, made with the connect timeout; reads have the other."""
+        if (held := getattr(self._held, "connection", None)) is not None:
+            return held
+        target, proxy = urlsplit(self.url), urlsplit(self.proxy) if self.proxy else None
+        kind = http.client.HTTPSConnection if target.scheme == "https" else http.client.HTTPConnection
+        to = proxy or target
+        connection = kind(to.hostname or "", to.port, timeout=self.connect_timeout)
+        if proxy and target.scheme == "https":
+            connection.set_tunnel(target.hostname or "", target.port or 443)
+        connection.connect()
+        connection.sock.settimeout(self.timeout)
+        self._held.connection = connection
+        return connection
+
+    def close(self) -> None:
+        if (held := getattr(self._held, "connection", None)) is not None:
+            held.close()
+            self._held.connection = None
 
     def request(self, method: str, params: dict[str, Any]) -> dict[str, Any]:
-        from urllib.parse import urlencode
-
-        if self._opener is None:
-            handlers = [urllib.request.ProxyHandler({"http": self.proxy, "https": self.proxy})] if self.proxy else []
-            self._opener = urllib.request.build_opener(*handlers)
         query = urlencode({k: str(v).lower() if isinstance(v, bool) else v for k, v in params.items()})
+        whole = f"{self.url}/{method}?{query}"
+        path = whole if self.proxy and whole.startswith("http:") else urlunsplit(("", "", *urlsplit(whole)[2:4], ""))
         try:
-            with self._opener.open(f"{self.url}/{method}?{query}", timeout=self.timeout) as response:
-                return json.load(response)
-        except urllib.error.HTTPError as error:
-            raise StatusError(error.code, error.headers.get("Retry-After")) from error
+            connection = self._connection()
+            connection.request("GET", path, headers={"Accept": "application/json", "Host": urlsplit(whole).netloc})
+            response = connection.getresponse()
+            body = response.read()
+        except (OSError, http.client.HTTPException) as error:
+            self.close()  # a connection that failed is not used again
+            raise error if isinstance(error, OSError) else OSError(str(error) or type(error).__name__) from error
+        if response.status >= 400:
+            raise StatusError(response.status, response.headers.get("Retry-After"))
+        return json.loads(body)
 
 
 class History:

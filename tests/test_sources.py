@@ -275,6 +275,65 @@ def test_failures_carry_their_cause_and_others_are_raised():
         [*reader.read(h.Ranges([("C", 1, 2)]))]
 
 
+def test_http_transport(monkeypatch):
+    """One connection for all requests of a thread; statuses and closed connections are errors that may be retried."""
+    import http.server
+    import pickle
+    import threading
+
+    from tallyline.sources import history as h
+
+    seen = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        protocol_version = "HTTP/1.1"
+
+        def do_GET(self):
+            seen.append((self.path, self.client_address[1]))
+            status = 429 if "busy" in self.path else 200
+            body = json.dumps({"result": {"trades": [{"trade_seq": 7}], "has_more": False}}).encode()
+            self.send_response(status)
+            self.send_header("Retry-After", "3")
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/api"
+    transport = pickle.loads(pickle.dumps(h.HttpTransport(url)))
+    assert History(transport).last_seq("A B") == 7 and transport.request("x", {"expired": True})["result"]["has_more"] is False
+    assert [p for p, _ in seen] == ["/api/get_last_trades_by_instrument?instrument_name=A+B&count=1", "/api/x?expired=true"] and len({port for _, port in seen}) == 1
+    with pytest.raises(StatusError) as caught:
+        transport.request("busy", {})
+    assert caught.value.status == 429 and wait_seconds(caught.value, 1) == 3.5
+    through = h.HttpTransport("http://far.example.com/api", proxy=f"http://127.0.0.1:{server.server_port}")
+    assert through.request("y", {})["result"]["trades"] and seen[-1][0] == "http://far.example.com/api/y?"
+    transport.close()
+    server.shutdown()
+    server.server_close()
+    with pytest.raises(OSError) as refused:
+        transport.request("x", {})
+    assert may_retry(refused.value)
+
+
+def test_validation_of_a_path(spark, tmp_path):
+    lines(tmp_path / "raw", "A", [1, 2, 3])
+    compacted.compact(spark, tmp_path / "raw", tmp_path / "o.parquet")
+    with pytest.raises(ValueError, match="together"):
+        reports.validate_parquet(spark, tmp_path / "o.parquet", data_type="option")
+    with pytest.raises(FileNotFoundError):
+        reports.validate_parquet(spark, tmp_path / "none.parquet")
+    with pytest.raises(FileNotFoundError):
+        reports.validate_parquet(spark, tmp_path / "o.parquet", checkpoint_path=tmp_path / "no.db", data_type="option")
+    assert reports.validate_parquet(spark, tmp_path / "o.parquet")[1].unknown == 1
+    checkpoint.write_sqlite(spark.createDataFrame([("A", 3, 1, 1)], checkpoint.LEDGERS["option_meta"]), tmp_path / "x.db", "option_meta")
+    assert reports.validate_parquet(spark, tmp_path / "o.parquet", checkpoint_path=tmp_path / "x.db", data_type="option")[1].exit_code == 0
+
+
 def test_bounds_are_asked_for_side_by_side():
     sizes = {f"I{k}": k for k in range(50)} | {"X": None}
     assert dict(quiet(Fake(sizes), attempts=1).last_seqs([*sizes], 8)) == sizes
