@@ -50,8 +50,8 @@ HINTS = {"email": "@", "ip": ".", "phone": "+"}
 TERM = r"(?<![\p{L}\p{M}])\p{L}[\p{L}\p{M}]{2,}+"
 WINDOW = 120
 SUPPORT, GENERALISE, REMOVE = 2, 0.8, 0.95
-#: Bytes up to which the candidate terms are broadcast; beyond, tokens are counted first and joined.
-BROADCAST_BYTES = 4 << 20
+#: Bytes in memory, from their exact lengths, up to which the candidate terms are broadcast; beyond, tokens are counted first and joined.
+BROADCAST_BYTES, ROW_BYTES = 32 << 20, 64
 
 _LOCATED = "array<struct<start:int,stop:int,hit:string>>"
 _SPAN = "array<struct<start:int,rank:int,stop:int,kind:string>>"
@@ -155,7 +155,7 @@ def disclosure(docs: DataFrame, near: DataFrame, text: str = "text") -> DataFram
     terms = materialize(pairs.select("term").distinct(), "pii-terms")
     keyed = docs.select(blank(text).alias("text")).withColumn("text_key", F.xxhash64("text"))
     tokens = keyed.dropDuplicates(["text_key"]).select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    size = int(str(terms._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = terms.agg(F.sum(F.octet_length("term") + ROW_BYTES)).first()[0] or 0
     if size <= BROADCAST_BYTES:
         tokens = tokens.join(F.broadcast(terms), "term", "left_semi")
     counts = tokens.groupBy("term").agg(F.count("*").alias("n_term"))
