@@ -1,5 +1,7 @@
 """A corpus pipeline of five stages over the operators of ``tallyline.llm``.
 
+Every stage takes empty tables, other columns of any name (all but the last hand them on) and texts of any length.
+
 Each stage takes (spark, docs, sf_dir) and returns the rows it keeps. ``run`` writes what
 a stage returns as Parquet in the shared folder and reads it again as the next one's input.
 """
@@ -21,7 +23,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject; labels of held-out folds are not learned from.
 
-    Documents without an id are not scored, and stay.
+    Documents without an id are not scored, and stay. Rows that repeat an id go if any text of it is
+    rejected. Without labels none is rejected. Null and empty texts are scored like others.
     """
     scored = rff.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     low = scored.where(F.col("score") < LEAST_QUALITY).select(F.col("doc_id").alias("low")).distinct()
@@ -45,19 +48,26 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts hold none. Every row is judged by its own text, repeated or not."""
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def sanitised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and the terms that reveal it replaced; the text's length follows."""
-    return pii.sanitise(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    """Personal data, secrets and the terms that reveal them replaced; where there is an n_chars, it follows the text.
+
+    Every row stays; a null text stays null, and so does its length.
+    """
+    done = pii.sanitise(docs)
+    return done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, token ids (little-endian unsigned 32-bit) and their number, of every document."""
-    done = bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=("doc_id", "lang", "source"))
-    return done.select("doc_id", "lang", "source", "n_tokens", "ids")
+    """doc_id, lang and source (where there are such), token ids (little-endian unsigned 32-bit) and their number, of every document.
+
+    A null or empty text has no ids.
+    """
+    kept = tuple(c for c in ("doc_id", "lang", "source") if c in docs.columns)
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=kept).select(*kept, "n_tokens", "ids")
 
 
 STAGES = [("quality", quality), ("near_copies", near_copies), ("decontaminated", decontaminated), ("sanitised", sanitised), ("encoded", encoded)]

@@ -82,15 +82,41 @@ def partitions_for(df: DataFrame, mb: float, least: int = 8) -> int:
 
 #: Partitions of a shuffle; where blocks are more, a task has several, one after another.
 MOST_PARTITIONS = 1 << 14
+#: Blocks that are named so that each has a partition of its own; with more, a partition has several and they even out.
+MOST_NAMED = 1 << 11
+
+
+def block_names(n: int) -> list[int]:
+    """``n`` integers of which a shuffle to ``n`` partitions puts one in each.
+
+    Shuffles place a row by Spark's Murmur3 hash of its key; of numbers 0 to n - 1 some partitions would get several and
+    many none.
+    """
+    left = lambda x, k: x << np.uint32(k) | x >> np.uint32(32 - k)
+    names: dict[int, int] = {}
+    start, step = 0, 4 * n + 64
+    with np.errstate(over="ignore"):
+        while len(names) < n:
+            tried = np.arange(start, start + step, dtype=np.uint32)
+            h = left(tried * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593) ^ np.uint32(42)
+            h = left(h, 13) * np.uint32(5) + np.uint32(0xE6546B64) ^ np.uint32(4)
+            for shift, times in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+                h = (h ^ h >> np.uint32(shift)) * np.uint32(times)
+            for place, name in zip((h.view(np.int32).astype(np.int64) % n).tolist(), tried.tolist(), strict=True):
+                names.setdefault(place, name)
+            start += step
+    return [names[k] for k in range(n)]
 
 
 def deal(docs: DataFrame, blocks: int) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with their ``block``, dealt out by it.
+    """``docs`` (doc_id, text, ...) with their ``block``, an integer, dealt out by it.
 
     A hash of id and text together, so that rows without an id, and those that repeat one, spread by their texts.
     """
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    return dealt.repartition(min(blocks, MOST_PARTITIONS), "block")
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
+    if blocks <= MOST_NAMED:
+        place = F.element_at(F.lit(block_names(blocks)), place + 1).cast("int")
+    return docs.withColumn("block", place).repartition(min(blocks, MOST_PARTITIONS), "block")
 
 
 def fresh_name(names) -> str:

@@ -404,7 +404,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     ends = chosen.where("not held_out").select("held_out").count()
     total, distinct = round(sums[-2]) + ends, round(sums[-1]) + (ends > 0)
     dealt = deal(chosen, blocks)
-    asked = dealt.groupBy("block").applyInArrow(_ask(blocks), f"block int, {_PACKED}").withColumn("turn", F.expr(f"block div {ASKERS}"))
-    turns = model.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit((blocks - 1) // ASKERS)).cast("array<bigint>")))
+    asked = dealt.groupBy("block").applyInArrow(_ask(blocks), f"block int, {_PACKED}").withColumn("turn", F.pmod("block", F.lit(-(-blocks // ASKERS))))
+    turns = model.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit((blocks - 1) // ASKERS))))
     answers = asked.groupBy("bucket", "turn").cogroup(turns.groupBy("bucket", "turn")).applyInArrow(_answer(top), f"block int, {_PACKED}")
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(blocks, total, distinct, ends), RESULT)

@@ -91,6 +91,8 @@ def test_rows_without_ids_spread(spark):
     assert sorted(map(str, (g[:2] for g in got))) == sorted(map(str, want))
     from tallyline.llm.common import deal
 
+    placed = deal(docs.selectExpr("doc_id", "coalesce(text, '') text"), 16).selectExpr("block", "spark_partition_id() AS p").distinct().collect()
+    assert len({r.p for r in placed}) == len({r.block for r in placed}) == len(placed) == 16
     sizes = [r.n for r in deal(docs.selectExpr("doc_id", "coalesce(text, '') text"), 16).groupBy("block").agg({"*": "count"}).toDF("block", "n").collect()]
     assert len(sizes) == 16 and max(sizes) < 150
 
