@@ -120,9 +120,9 @@ def deal(docs: DataFrame, blocks: int) -> DataFrame:
 
 
 def fresh_name(names) -> str:
-    """A column name that none of ``names`` is, in whatever case."""
-    taken, name = {n.lower() for n in names}, "__text"
-    while name in taken:
+    """A column name that none of ``names`` begins with, in whatever case."""
+    name = "__text"
+    while any(n.lower().startswith(name) for n in names):
         name += "_"
     return name
 
