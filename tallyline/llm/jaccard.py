@@ -325,3 +325,25 @@ def _across(active: DataFrame, sets: DataFrame) -> DataFrame:
     fits = (100 + THRESHOLD) * shared >= THRESHOLD * (F.col("n") + F.col("n_d"))
     near = (100 * F.least("n", "n_d") >= THRESHOLD * F.greatest("n", "n_d")) & (F.col("component") != F.col("c_d")) & (F.col("large") | F.col("l_d")) & (F.col("settled") | (F.col("doc") < F.col("d"))) & fits
     return seekers.join(held, ["long", "h", "band"]).where(near).select(*_ordered(F.col("doc"), F.col("d")))
+
+
+#: The join in SQL that DuckDB runs: every pair that shares a shingle is counted, and links are followed to the end.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM w
+), e AS (
+  SELECT doc_id, unnest(s) AS h, len(s) AS n FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e AS a JOIN e AS b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), l AS (
+  SELECT a, b FROM p UNION ALL SELECT b, a FROM p
+), r AS (
+  SELECT a AS doc_id, a AS c FROM l UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id
+), m AS (
+  SELECT doc_id, min(c) AS c FROM r GROUP BY 1
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(m.c, s.doc_id) AS component_id FROM s LEFT JOIN m ON m.doc_id = s.doc_id
+"""

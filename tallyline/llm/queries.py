@@ -92,4 +92,5 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op4_preference_format": preference.ORACLE,
+    "op5_jaccard_join": jaccard.ORACLE,
 }

@@ -1,6 +1,7 @@
 import random
 import re
 
+import duckdb
 import pytest
 
 from tallyline.llm import graph, jaccard
@@ -122,8 +123,11 @@ def test_components_of_paths_and_stars(spark, monkeypatch, few):
 
 
 def test_query_equals_brute_force(spark):
-    from tallyline.llm.queries import QUERIES
+    from tallyline.llm.queries import ORACLES, QUERIES
 
     path = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
-    assert sorted(map(tuple, QUERIES["op5_jaccard_join"](spark, path).collect()), key=str) == brute(rows)
+    got = sorted(map(tuple, QUERIES["op5_jaccard_join"](spark, path).collect()), key=str)
+    assert got == brute(rows)
+    duckdb.execute(f"create or replace view documents as select * from '{path}/documents.parquet'")
+    assert got == sorted(duckdb.execute(ORACLES["op5_jaccard_join"]).fetchall(), key=str)
