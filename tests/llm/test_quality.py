@@ -99,6 +99,27 @@ def test_threshold_parts_labelled_texts_best(spark):
     assert ngram_llr.best_cut(bad, good) == pytest.approx((101 + 300) / 2 / ngram_llr.BINS * 16 - 8)
 
 
+def test_threshold_counts_every_labelled_text(spark):
+    """Of 24,000 labelled texts the last 4,000 by their hashes decide where the cut lies."""
+    text = {c: " ".join(f"{c}{k:02}" for k in range(60)) for c in "gbl"}  # good, bad, bad and late
+    ids = [r.id for r in spark.sql("SELECT id FROM range(24000) ORDER BY xxhash64(id), id").collect()]
+    kind = {i: "l" if k >= 20_000 else "gb"[i % 2] for k, i in enumerate(ids)}
+    docs = spark.createDataFrame([(i, text[c]) for i, c in kind.items()] + [(7, text[kind[7]]), (None, text["l"]), (99_999, text["g"])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(c == "g")) for i, c in kind.items()] + [(None, 1)], "doc_id long, quality int")
+    learned = np.zeros(ngram_llr.BUCKETS)
+    for c, value in (("b", -2), ("l", 1), ("g", 2)):
+        learned[ngram_llr.buckets(text[c].encode())] = value
+    ratio = {c: float(learned[ngram_llr.buckets(t.encode())].mean()) for c, t in text.items()}
+    cut = ngram_llr.threshold(docs, learned, labels)
+    assert ratio["l"] < cut < ratio["g"]
+    counts = np.zeros((2, ngram_llr.BINS))
+    for c in [*kind.values(), kind[7]]:
+        counts[int(c == "g"), int((ratio[c] + 8) / 16 * ngram_llr.BINS)] += 1
+    assert cut == ngram_llr.best_cut(*counts)
+    got = ngram_llr.verdicts(docs, learned, labels).groupBy("doc_id").agg({"kept": "max"}).collect()
+    assert {r[0]: r[1] for r in got} == {i: c == "g" for i, c in kind.items()} | {None: False, 99_999: True}
+
+
 def plain_isotonic(good, total):
     """The rising fit as the largest, over starts, of the least mean to any end."""
     held = [k for k in range(len(total)) if total[k]]
