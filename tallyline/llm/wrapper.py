@@ -14,7 +14,7 @@ that way, one that is an ``article`` or ``main`` is preferred. Pages of a host w
 same proposal share a wrapper, so templates that a host mixes stay apart.
 
 What a wrapper decides. The proposals of a host are ranked by the prose of all pages that
-made them, and a page's text is taken from the best container that it has: a page with a
+made them, all of them, and a page's text is taken from the best container that it has: a page with a
 long advert and a short article follows the others. In the container, a text that is
 the same at its path on ``CONSTANT_PAGES`` pages or more and on the share
 ``CONSTANT_SHARE`` of the wrapper's is a notice, unless such texts are more than
@@ -48,7 +48,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blank, fresh_name, materialize, release, text_batches
@@ -60,13 +60,13 @@ DESCEND = 0.75
 LAYOUT, MARKED = 0.5, 0.8
 #: Least share of a page's prose that a container which others propose must hold of it.
 LEAST = 0.1
-#: Containers of a host that its pages are held against, best first, besides a page's own.
-CONTAINERS = 64
 #: Elements nested deeper belong to their ancestor of this depth.
 DEPTH = 150
 SALTS = 64
-#: Bytes of rules, as counted, up to which every task gets them all; beyond, pages meet theirs in a salted join.
+#: Bytes of rules, as counted, up to which every task gets them all; beyond, each page is joined to those of the boxes that it has.
 BROADCAST_BYTES = 8 << 20
+#: A container that more than one in so many boxes of pages are is dealt out by ``SALTS``.
+HEAVY = 1024
 
 #: Fixed lists of HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -410,20 +410,25 @@ def extract(root: Node, path: str, rule: dict) -> str:
     return " ".join(out if found or not out else title[:1] + out)
 
 
-def text_of(root: Node, containers: dict[str, tuple[int, dict]]) -> str:
-    """A page's text by the containers of its host (support and rule by path)."""
+def boxes(root: Node) -> tuple[str, list[str]]:
+    """The path that a page proposes, and those of its boxes that may be its container: its own, and such as hold a share of its prose."""
     own, whole = container(root)
     has: dict[str, int] = {}
 
     def look(node: Node, path: str) -> None:
-        if path in containers:
-            has[path] = has.get(path, 0) + node.prose
+        has[path] = has.get(path, 0) + node.prose
         for x in node.items:
-            if isinstance(x, Node):
+            if isinstance(x, Node) and x.tag not in FLOW:  # no page proposes what is in those
                 look(x, f"{path}>{x.label}")
 
     look(root, "")
-    for path in sorted((p for p, prose in has.items() if prose and (p == own or prose >= LEAST * whole)), key=lambda p: (-containers[p][0], p)):
+    return own, [p for p, prose in has.items() if prose and (p == own or prose >= LEAST * whole)]
+
+
+def text_of(root: Node, containers: dict[str, tuple[int, dict]]) -> str:
+    """A page's text by the containers of its host (support and rule by path), or those of them that are boxes of the page."""
+    own, found = boxes(root)
+    for path in sorted((p for p in found if p in containers), key=lambda p: (-containers[p][0], p)):
         if text := extract(root, path, containers[path][1]):
             return text
     for path in (own, ""):
@@ -513,17 +518,34 @@ def infer(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
 
 
 def host_rules(wrappers: DataFrame) -> DataFrame:
-    """(host, rules): the best containers of each host with what their wrappers say, as JSON."""
+    """(host, path, prose, rule): what the wrapper of every container says, as JSON."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [json.dumps(rules(json.loads(w), p, n)) for w, p, n in zip(*(batch.column(k).to_pylist() for k in ("wrapper", "path", "pages")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("path"), batch.column("prose"), pa.array(made, pa.string())], names=["host", "path", "prose", "rule"])
 
-    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("prose"), "path"))
-    best = wrappers.withColumn("rank", rank).where(F.col("rank") <= CONTAINERS).select("host", "path", "pages", "prose", "wrapper")
-    read_out = best.mapInArrow(read, "host string, path string, prose long, rule string")
-    return read_out.groupBy("host").agg(F.to_json(F.sort_array(F.collect_list(F.struct("path", "prose", "rule")))).alias("rules"))
+    return wrappers.mapInArrow(read, "host string, path string, prose long, rule string")
+
+
+def page_rules(pages: DataFrame, ruled: DataFrame) -> DataFrame:
+    """(host, page, rules): of ``pages`` (host, page, html) the rules of the containers among their boxes, as JSON."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release("wrapper")
+        for batch in text_batches(batches, "html"):
+            rows = [(host, page, path) for host, page, value in zip(*(batch.column(k).to_pylist() for k in ("host", "page", "html")), strict=True) if value for path in boxes(parse(value))[1]]
+            hosts, ids, paths = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(ids, pa.binary()), pa.array(paths, pa.string())], names=["host", "page", "path"])
+
+    key = ["host", "path"]
+    found = materialize(pages.mapInArrow(read, "host string, page binary, path string").distinct(), "boxes")
+    heavy = F.broadcast(found.groupBy(key).count().where(F.col("count") * HEAVY > found.count()).select(*key, F.lit(SALTS).alias("salts")))
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = found.join(heavy, key, "left").withColumn("salt", F.pmod(F.xxhash64("page"), salts).cast("int"))
+    spread = ruled.join(heavy, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    met = dealt.join(spread.drop("salts"), [*key, "salt"])
+    return met.groupBy("host", "page").agg(F.to_json(F.sort_array(F.collect_list(F.struct("path", "prose", "rule")))).alias("rules"))
 
 
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
@@ -532,33 +554,36 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", keep: tupl
     names = [f"page_{k}" if k == "text" else k for k in keep]
     here = fresh_name(names)
     chosen = pages.select(*(F.col(k).alias(n) for k, n in zip(keep, names, strict=True)), host_of(url).alias(f"{here}host"), blank(html).alias(here))
-    size = ruled.agg(F.sum(F.length("rules") + F.length("host") + 64)).first()[0] or 0
-    held: dict[str, str] | None = None
+    size = ruled.agg(F.sum(F.length("host") + F.length("path") + F.length("rule") + 64)).first()[0] or 0
+    held: dict[str, list] | None = None
     if size <= BROADCAST_BYTES:
-        held = {r.host: r.rules for r in ruled.select("host", "rules").toLocalIterator()}
+        held = {}
+        for r in ruled.toLocalIterator():
+            held.setdefault(r.host, []).append({"path": r.path, "prose": r.prose, "rule": r.rule})
         joined = chosen.withColumn(f"{here}rules", F.lit(None).cast("string"))
     else:
-        salts = ruled.select(F.col("host").alias(f"{here}known"), F.col("rules").alias(f"{here}rules"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(f"{here}salt"))
-        same = (F.col(f"{here}host") == F.col(f"{here}known")) & (F.pmod(F.xxhash64(here), F.lit(SALTS)) == F.col(f"{here}salt"))
-        joined = chosen.join(salts, same, "left")
+        key = f"{here}host", f"{here}page"
+        chosen = chosen.withColumn(key[1], F.unhex(F.sha2(here, 256)))
+        joined = chosen.join(page_rules(chosen.select(*key, here).toDF("host", "page", "html"), ruled).toDF(*key, f"{here}rules"), list(key), "left")
     joined = joined.select(*names, here, f"{here}host", f"{here}rules")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-3]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release("wrapper")
-        known: dict[str, dict] = {}
+        known: dict[str | None, dict] = {}  # by host, or by the rules of a page
         for batch in text_batches(batches, here):
             texts = []
             for value, host, found in zip(*(batch.column(f"{here}{c}").to_pylist() for c in ("", "host", "rules")), strict=True):
                 if not value:
                     texts.append("")
                     continue
-                if host not in known:
+                own = found if held is None else host
+                if own not in known:
                     if len(known) > 1000:
                         known.clear()
-                    rows = json.loads((found if held is None else held.get(host)) or "[]")
-                    known[host] = {r["path"]: (r["prose"], json.loads(r["rule"])) for r in rows}
-                texts.append(text_of(parse(value), known[host]))
+                    rows = json.loads(found or "[]") if held is None else held.get(host, [])
+                    known[own] = {r["path"]: (r["prose"], json.loads(r["rule"])) for r in rows}
+                texts.append(text_of(parse(value), known[own]))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(names))), pa.array(texts, pa.string())], names=[*names, "text"])
 
     return joined.mapInArrow(run, ", ".join([*fields, "text string"]))

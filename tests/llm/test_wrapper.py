@@ -60,6 +60,27 @@ def test_rules_that_are_joined(spark, monkeypatch):
     assert sorted(map(tuple, w.main_text(pages).collect())) == want
 
 
+def test_every_container_of_a_host_counts(spark, monkeypatch):
+    """Ninety containers on one host, each with a notice of its own pages; copies of pages, and pages with the boxes of two containers."""
+    rows, want = [], {}
+    for c in range(90):
+        name = "".join(chr(97 + k) for k in (c // 9, c % 9)) + "x"
+        for k in range(4):
+            body = " ".join(RNG.choices(["uno", "due", "tre", "quattro"], k=60 - c // 4)) + f" {c} {k}"
+            rows.append((len(rows), "http://n.example.com/", f"<body><div class={name}><div class=hint>Notice {c}.</div><p>{body}</p></div></body>"))
+            want[len(want)] = body
+    html = "<body><div class={}><div class=hint>Notice {}.</div><p>{}</p></div><div class={}><p>{}</p></div></body>"
+    body = " ".join(["sette"] * 12)
+    for first, second in (("aax", "jix"), ("jix", "aax")):  # the container with more prose on the host is better, whatever is longer here
+        rows.append((len(rows), "http://n.example.com/", html.format(first, 0 if first == "aax" else 89, body + " cinque", second, "otto " * 15)))
+        want[len(want)] = body + " cinque" if first == "aax" else " ".join(["otto"] * 15)
+    pages = spark.createDataFrame(rows + rows[:8], "page_id long, url string, html string").repartition(4)
+    for limit in (w.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(w, "BROADCAST_BYTES", limit)
+        got = w.main_text(pages).collect()
+        assert len(got) == len(rows) + 8 and {(r.page_id, r.text) for r in got} == set(want.items())
+
+
 def test_a_host_that_mixes_both_templates(spark):
     bodies = [blocks(5) for _ in range(40)]
     pages = [(k, f"https://m.example.com/{k}", (tagged if k % 4 else untagged)("m.example.com", b)) for k, b in enumerate(bodies)]
