@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank, deal, discard, materialize, partitions_for, release
+from .common import blank, deal, discard, materialize, partitions_for, release, relieve
 from .graph import components
 from .shingles import mix, shingle_sets
 
@@ -227,6 +227,7 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     done = spark.createDataFrame([], "a long, b long")
     active = held = lists
     for turn in range(ROUNDS + 1):
+        relieve(spark, collect=True)
         marked = active.drop("component").join(labels, F.col("doc") == F.col("node")).drop("node")
         if turn:  # at first every document is its own component, and every list open
             held = marked = materialize(marked, "jaccard-marked")

@@ -1,9 +1,11 @@
+import re
+
 import public_tokenizers as P
 import numpy as np
 import tiktoken
 
 import corpus_pipeline
-from tallyline.llm import bpe, decontaminate, jaccard
+from tallyline.llm import bpe, common, decontaminate, jaccard
 
 PATH = "/root/testdata/sf0.001"
 
@@ -57,3 +59,20 @@ def test_run_and_odd_rows(spark, tmp_path):
     spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
     assert len(got) == len(set(got)) == 4 and set(got) == {None, 1, 2, 3}
+
+
+def test_driver_gives_freed_memory_back(spark):
+    jvm = spark._jvm
+
+    def held():
+        with open(f"/proc/{jvm.java.lang.ProcessHandle.current().pid()}/smaps_rollup") as f:
+            return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+    common.materialize(spark.range(1), "one")
+    used = [jvm.java.util.zip.Deflater() for _ in range(1500)]
+    for x in used[:-1]:  # the last one stays above what the others free
+        x.end()
+    before = held()
+    common.materialize(spark.range(1), "one")
+    assert held() < before - 50
+    used[-1].end()
