@@ -70,6 +70,23 @@ def relieve(spark: SparkSession, collect: bool = False) -> None:
         jvm.Class.forName("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(server, given)
 
 
+def unburden(spark: SparkSession, workers: bool = True) -> None:
+    """Executors give back what the work before has left there: their JVMs' garbage, and what their Python workers keep.
+
+    A heap that was once filled stays as large, and its JVM and workers share an executor's memory. A task for each core
+    collects the heap, which shrinks it, and calls ``release``; idle cores get one each, and a busy one is left out.
+    Without ``workers`` no Python runs, and they keep what they have.
+    """
+    cores = spark.sparkContext.defaultParallelism
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches
+        release()
+
+    done = spark.range(0, cores, 1, cores).select(F.java_method(F.lit("java.lang.System"), F.lit("gc")).alias("done"))
+    (done.mapInArrow(run, "done string") if workers else done).collect()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back."""
     path = shared_path(df.sparkSession, name)

@@ -2,6 +2,7 @@ import re
 
 import public_tokenizers as P
 import numpy as np
+import pyarrow as pa
 import tiktoken
 
 import corpus_pipeline
@@ -76,3 +77,31 @@ def test_driver_gives_freed_memory_back(spark):
     common.materialize(spark.range(1), "one")
     assert held() < before - 50
     used[-1].end()
+
+
+def test_a_stage_begins_by_giving_back_what_the_one_before_left(spark):
+    cores = spark.sparkContext.defaultParallelism
+    docs = spark.read.parquet(f"{PATH}/documents.parquet")
+
+    def collections():  # of the whole heap, after which it shrinks
+        every = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(x.getCollectionCount() for x in every if "Young" not in x.getName())
+
+    def keep(batches):
+        common.kept("another", (), lambda: 1)
+        yield from batches
+
+    def left(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._KEPT)] * len(batch), pa.int64())], names=["n"])
+
+    for stage in (corpus_pipeline.decontaminated, corpus_pipeline.encoded):
+        spark.range(0, cores, 1, cores).mapInArrow(keep, "id long").collect()
+        before = collections()
+        stage(spark, docs, PATH)
+        assert collections() > before
+        assert not any(r.n for r in spark.range(0, cores, 1, cores).mapInArrow(left, "n long").collect())
+    spark.range(0, cores, 1, cores).mapInArrow(keep, "id long").collect()
+    before = collections()
+    corpus_pipeline.unburden(spark, workers=False)
+    assert collections() > before and any(r.n for r in spark.range(0, cores, 1, cores).mapInArrow(left, "n long").collect())
